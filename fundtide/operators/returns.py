@@ -17,8 +17,9 @@ from fundtide.operators.filters import min_coverage
 from fundtide.operators.windows import last_n_rows
 
 
-def _period_array(periods: Sequence[int]) -> Column:
-    return F.array(*[F.lit(p) for p in periods])
+def _periods_where(periods: Sequence[int], holds) -> Column:
+    """The periods for which ``holds(p)`` is true, one row each."""
+    return F.explode(F.array_compact(F.array(*[F.when(holds(p), F.lit(p)) for p in periods])))
 
 
 def rows_by_period(bars: DataFrame, periods: Sequence[int], key: str = "ticker") -> DataFrame:
@@ -28,8 +29,7 @@ def rows_by_period(bars: DataFrame, periods: Sequence[int], key: str = "ticker")
     needs no further shuffle.
     """
     newest = last_n_rows(bars, max(periods), key)
-    fitting = F.filter(_period_array(periods), lambda p: F.col("row_num") <= p)
-    return newest.withColumn("period_days", F.explode(fitting))
+    return newest.withColumn("period_days", _periods_where(periods, lambda p: F.col("row_num") <= p))
 
 
 def _summarize(rows: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
@@ -89,8 +89,7 @@ def calendar_periods(
     inside = bars.filter(
         (F.col(date) >= F.date_sub(end, max(periods) + slack_days)) & (F.col(date) <= end)
     )
-    fitting = F.filter(_period_array(periods), lambda p: age <= p + slack_days)
-    return inside.withColumn("period_days", F.explode(fitting))
+    return inside.withColumn("period_days", _periods_where(periods, lambda p: age <= p + slack_days))
 
 
 def stock_metrics(

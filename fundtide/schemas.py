@@ -10,79 +10,78 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+TEXT, DATE, LONG, INT = T.StringType(), T.DateType(), T.LongType(), T.IntegerType()
+DOUBLE, FLAG, TIME, LOCAL_TIME = T.DoubleType(), T.BooleanType(), T.TimestampType(), T.TimestampNTZType()
+PRICE, PERCENT3, PERCENT4 = T.DecimalType(10, 2), T.DecimalType(6, 3), T.DecimalType(10, 4)
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-_OHLC = (
-    "open_price decimal(10,2), high_price decimal(10,2), "
-    "low_price decimal(10,2), close_price decimal(10,2), volume bigint, "
-    "price_change_percent decimal(6,3)"
-)
 
-FUND_META = _schema("ticker string, etf_type string, sector_name string")
-FUND_PRICES = _schema(f"ticker string, trade_date date, {_OHLC}")
-STOCK_PRICES = _schema(
-    f"ticker string, company_name string, sector string, trade_date date, {_OHLC}, market_cap bigint"
-)
+def _bar(price: T.DataType, change: T.DataType) -> dict[str, T.DataType]:
+    return dict(
+        trade_date=DATE, open_price=price, high_price=price, low_price=price, close_price=price,
+        volume=LONG, price_change_percent=change,
+    )
+
+
+FUND_META = _schema(ticker=TEXT, etf_type=TEXT, sector_name=TEXT)
+FUND_PRICES = _schema(ticker=TEXT, **_bar(PRICE, PERCENT3))
+STOCK_PRICES = _schema(ticker=TEXT, company_name=TEXT, sector=TEXT, **_bar(PRICE, PERCENT3), market_cap=LONG)
 HOLDINGS = _schema(
-    "etf_ticker string, holding_ticker string, holding_name string, holding_percent decimal(8,4), "
-    "holding_shares decimal(20,4), holding_value decimal(20,2), as_of_date date, source string"
+    etf_ticker=TEXT, holding_ticker=TEXT, holding_name=TEXT, holding_percent=T.DecimalType(8, 4),
+    holding_shares=T.DecimalType(20, 4), holding_value=T.DecimalType(20, 2), as_of_date=DATE, source=TEXT,
 )
 TRENDING = _schema(
-    "etf_ticker string, as_of_date date, period int, return_pct decimal(10,4), is_trending boolean, rank int"
+    etf_ticker=TEXT, as_of_date=DATE, period=INT, return_pct=PERCENT4, is_trending=FLAG, rank=INT
 )
 ALLOCATION = _schema(
-    "as_of_date date, ticker string, company_name string, sector string, market_cap bigint, "
-    "return_pct decimal(10,4), sector_avg decimal(10,4), is_trending boolean, rank int, "
-    "portfolio_weight decimal(8,5), allocation_reason string, period_days int"
+    as_of_date=DATE, ticker=TEXT, company_name=TEXT, sector=TEXT, market_cap=LONG, return_pct=PERCENT4,
+    sector_avg=PERCENT4, is_trending=FLAG, rank=INT, portfolio_weight=T.DecimalType(8, 5),
+    allocation_reason=TEXT, period_days=INT,
 )
 SECTOR_TRENDING = _schema(
-    "year int, month int, sector string, stock_count int, avg_monthly_return decimal(6,3), "
-    "volatility decimal(6,3), positive_days int, total_trading_days int, positive_rate decimal(5,2), "
-    "best_day decimal(6,3), worst_day decimal(6,3), is_trending boolean"
+    year=INT, month=INT, sector=TEXT, stock_count=INT, avg_monthly_return=PERCENT3, volatility=PERCENT3,
+    positive_days=INT, total_trading_days=INT, positive_rate=T.DecimalType(5, 2), best_day=PERCENT3,
+    worst_day=PERCENT3, is_trending=FLAG,
 )
 STOCK_TRENDING = _schema(
-    "year int, month int, ticker string, company_name string, sector string, "
-    "avg_monthly_return decimal(6,3), vs_sector decimal(6,3), volatility decimal(6,3), "
-    "total_volume bigint, month_high decimal(10,2), month_low decimal(10,2), trading_days int, "
-    "is_trending boolean"
+    year=INT, month=INT, ticker=TEXT, company_name=TEXT, sector=TEXT, avg_monthly_return=PERCENT3,
+    vs_sector=PERCENT3, volatility=PERCENT3, total_volume=LONG, month_high=PRICE, month_low=PRICE,
+    trading_days=INT, is_trending=FLAG,
 )
 MONTHLY_PORTFOLIO = _schema(
-    "ticker string, company_name string, sector string, final_rank int, final_weight decimal(10,6), "
-    "score decimal(10,2), source_periods string, return_20d decimal(10,2), market_cap bigint, "
-    "allocation_reason string, rebalance_date date, valid_until date"
+    ticker=TEXT, company_name=TEXT, sector=TEXT, final_rank=INT, final_weight=T.DecimalType(10, 6),
+    score=PRICE, source_periods=TEXT, return_20d=PRICE, market_cap=LONG, allocation_reason=TEXT,
+    rebalance_date=DATE, valid_until=DATE,
 )
 TOP_HOLDINGS = _schema(
-    "etf_ticker string, etf_type string, sector_name string, holding_ticker string, holding_name string, "
-    "holding_sector string, time_period int, rank_position int, avg_return decimal(10,4), "
-    "total_return decimal(10,4), volatility decimal(10,4), avg_volume bigint, "
-    "current_price decimal(10,2), market_cap bigint, as_of_date date"
+    etf_ticker=TEXT, etf_type=TEXT, sector_name=TEXT, holding_ticker=TEXT, holding_name=TEXT,
+    holding_sector=TEXT, time_period=INT, rank_position=INT, avg_return=PERCENT4, total_return=PERCENT4,
+    volatility=PERCENT4, avg_volume=LONG, current_price=PRICE, market_cap=LONG, as_of_date=DATE,
 )
-DEAD_LETTER = _schema("raw_value string, error_msg string, received_at timestamp")
+DEAD_LETTER = _schema(raw_value=TEXT, error_msg=TEXT, received_at=TIME)
 
 TICK_MESSAGE = _schema(
-    "ticker string, sector string, timestamp timestamp_ntz, date string, current_price double, "
-    "high double, low double, volume bigint"
-)
-_MESSAGE_BAR = (
-    "trade_date date, open_price double, high_price double, low_price double, close_price double, "
-    "volume bigint, price_change_percent double"
+    ticker=TEXT, sector=TEXT, timestamp=LOCAL_TIME, date=TEXT, current_price=DOUBLE, high=DOUBLE,
+    low=DOUBLE, volume=LONG,
 )
 FUND_BAR_MESSAGE = _schema(
-    f"ticker string, {_MESSAGE_BAR}, timestamp string, etf_type string, sector_name string"
+    ticker=TEXT, **_bar(DOUBLE, DOUBLE), timestamp=TEXT, etf_type=TEXT, sector_name=TEXT
 )
 STOCK_BAR_MESSAGE = _schema(
-    f"ticker string, company_name string, sector string, {_MESSAGE_BAR}, market_cap bigint, timestamp string"
+    ticker=TEXT, company_name=TEXT, sector=TEXT, **_bar(DOUBLE, DOUBLE), market_cap=LONG, timestamp=TEXT
 )
 HOLDINGS_MESSAGE = _schema(
-    "etf_ticker string, etf_type string, sector_name string, holdings_count int, "
-    "holdings array<struct<etf_ticker string, holding_ticker string, holding_name string, "
-    "holding_shares bigint, holding_value double, holding_percent double, date_reported string, "
-    "as_of_date string>>, timestamp string"
+    etf_ticker=TEXT, etf_type=TEXT, sector_name=TEXT, holdings_count=INT,
+    holdings=T.ArrayType(_schema(
+        etf_ticker=TEXT, holding_ticker=TEXT, holding_name=TEXT, holding_shares=LONG, holding_value=DOUBLE,
+        holding_percent=DOUBLE, date_reported=TEXT, as_of_date=TEXT,
+    )),
+    timestamp=TEXT,
 )
-TOPIC = _schema("key string, value string")
+TOPIC = _schema(key=TEXT, value=TEXT)
 
 
 def to_table(df: DataFrame, schema: T.StructType) -> DataFrame:
