@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ("plans",)
+_PARTS = ("scans", "plans")
 
 
 def _load():
