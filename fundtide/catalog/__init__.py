@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ("scans", "plans")
+_PARTS = ("scans", "filters", "joins", "plans")
 
 
 def _load():
