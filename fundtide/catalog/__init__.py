@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ("scans", "filters", "joins", "plans")
+_PARTS = ("scans", "filters", "joins", "aggregates", "windows", "streams", "plans", "quality")
 
 
 def _load():

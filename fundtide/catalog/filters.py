@@ -192,8 +192,9 @@ def normalize_ticker(spark, sf_dir):
 
 
 @query("ticker_from_name", """
-SELECT p_partkey, nullif(regexp_extract(p_name || ' ' || p_type || ' ' || 'AB12',
-    '(^|\\s)([A-Z0-9]{0,4}[A-Z][A-Z0-9]{0,4})(\\s|$)', 2), '') AS ticker,
+SELECT p_partkey,
+  [w FOR w IN string_split_regex(p_name || ' ' || p_type || ' ' || 'AB12', '\\s+')
+    IF w = upper(w) AND regexp_matches(w, '[A-Z]') AND length(w) <= 5][1] AS ticker,
   CASE WHEN p_size > 25 THEN p_brand ELSE substring(p_name, 1, 10) END AS head
 FROM part""")
 def ticker_from_name(spark, sf_dir):

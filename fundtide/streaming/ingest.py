@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fundtide.functions.columns import ticker_or_name_head
+from fundtide.operators.windows import top_k_per_group
 from fundtide.sources import sinks
 
 _CORRUPT = "_corrupt_record"
@@ -159,6 +160,11 @@ def hourly_to_table(ticks: DataFrame, delay: str, table: str, checkpoint: str, t
     return run_to_end(hourly(ticks, delay, ts).writeStream.outputMode("update"), checkpoint, store)
 
 
+def latest_hours(table: DataFrame) -> DataFrame:
+    """The newest figure of every hour."""
+    return top_k_per_group(table, HOUR_KEYS, [F.col("batch_id").desc()], 1, "_n").drop("_n", "batch_id")
+
+
 def dedup_to_table(
     ticks: DataFrame, keys: Sequence[str], delay: str, table: str, checkpoint: str, ts: str = "ts"
 ) -> StreamingQuery:
