@@ -113,7 +113,7 @@ SELECT 'stock', etf_ticker, holding_ticker, as_of_date FROM holdings h
 WHERE as_of_date = (SELECT max(as_of_date) FROM holdings x WHERE x.holding_ticker = h.holding_ticker)""",
     "scope etf_ticker holding_ticker d:as_of_date"))
 def latest_date_filter(spark, sf_dir):
-    holdings = line_market(spark, sf_dir).holdings.select("etf_ticker", "holding_ticker", "as_of_date")
+    holdings = line_market(spark, sf_dir).positions.select("etf_ticker", "holding_ticker", "as_of_date")
     columns = ["scope", "etf_ticker", "holding_ticker", "as_of_date"]
     overall = jobs.latest_date_rows(holdings, "as_of_date").withColumn("scope", F.lit("overall"))
     by_stock = jobs.latest_date_rows(holdings, "as_of_date", ["holding_ticker"]).withColumn("scope", F.lit("stock"))
@@ -122,7 +122,7 @@ def latest_date_filter(spark, sf_dir):
 
 @query("distinct_tickers", sql(LI, "SELECT DISTINCT holding_ticker AS ticker FROM holdings", "ticker"))
 def distinct_tickers(spark, sf_dir):
-    return boards.distinct_tickers(line_market(spark, sf_dir).holdings)
+    return boards.distinct_tickers(line_market(spark, sf_dir).positions)
 
 
 @query("holdings_summary", sql(EV_TOP, """

@@ -294,12 +294,13 @@ top_holdings AS (
 
 # ---- the same intermediate results on the Spark side --------------------------
 
-def line_trending(spark: SparkSession, sf_dir: str, ranked: bool = False) -> DataFrame:
+def line_trending(spark: SparkSession, sf_dir: str, ranked: bool = False, described: bool = True) -> DataFrame:
     from fundtide.plans.jobs import trending_funds
     from fundtide.sources.market import line_market
 
     m = line_market(spark, sf_dir)
-    return trending_funds(m.fund_prices, m.fund_meta, m.benchmark, m.as_of(), slack_days=None, ranked=ranked)
+    meta = m.fund_meta if described else None
+    return trending_funds(m.fund_prices, meta, m.benchmark, m.as_of(), slack_days=None, ranked=ranked)
 
 
 def line_allocation(spark: SparkSession, sf_dir: str, ranked: bool = False) -> DataFrame:
@@ -307,9 +308,9 @@ def line_allocation(spark: SparkSession, sf_dir: str, ranked: bool = False) -> D
     from fundtide.sources.market import line_market
 
     m = line_market(spark, sf_dir)
-    trending = line_trending(spark, sf_dir)
+    trending = line_trending(spark, sf_dir, described=False)
     return portfolio_allocation(
-        trending, m.holdings, m.stock_prices, m.as_of(), slack_days=None, ranked=ranked
+        trending, m.positions, m.stock_prices, m.as_of(), slack_days=None, ranked=ranked
     )
 
 

@@ -87,7 +87,7 @@ def filter_min_coverage(spark, sf_dir):
     LI_TREND, "SELECT * FROM holdings WHERE etf_ticker IN (SELECT etf_ticker FROM trend WHERE is_trending)",
     "etf_ticker holding_ticker d:as_of_date i:holding_shares f:holding_percent"))
 def filter_in_set(spark, sf_dir):
-    trending = line_trending(spark, sf_dir).filter("is_trending")
+    trending = line_trending(spark, sf_dir, described=False).filter("is_trending")
     return filters.in_set(line_market(spark, sf_dir).holdings, trending, "etf_ticker").select(
         "etf_ticker", "holding_ticker", "as_of_date", "holding_shares", "holding_percent"
     )

@@ -35,7 +35,7 @@ JOIN (SELECT DISTINCT etf_ticker, holding_ticker FROM holdings WHERE as_of_date
 def returns_with_holdings(spark, sf_dir):
     m = line_market(spark, sf_dir)
     gains = returns.period_returns(m.stock_prices).select("ticker", "period_days", "return_pct")
-    return joins.returns_with_holdings(gains, tables.scan_recent_holdings(m.holdings, m.as_of(), 365))
+    return joins.returns_with_holdings(gains, tables.scan_recent_holdings(m.positions, m.as_of(), 365))
 
 
 @query("join_latest_metadata", sql(_STOCK_RETURNS + f"newest AS ({latest_sql('stock_prices', 'ticker', 'trade_date')}),", """
@@ -219,7 +219,7 @@ coverage AS (
 def line_coverage(spark, sf_dir):
     m = line_market(spark, sf_dir)
     return joins.trending_coverage(
-        line_trending(spark, sf_dir), m.holdings, m.stock_prices, m.as_of(), holding_days=40
+        line_trending(spark, sf_dir, described=False), m.positions, m.stock_prices, m.as_of(), holding_days=40
     )
 
 

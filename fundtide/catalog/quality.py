@@ -91,7 +91,7 @@ def verify_results(spark, sf_dir):
 SELECT as_of_date, period_days, count(*) AS total_etfs, count(*) FILTER (is_trending) AS trending_count
 FROM trend GROUP BY 1, 2""", "d:as_of_date i:period_days i:total_etfs i:trending_count"))
 def verify_trending(spark, sf_dir):
-    return quality.trending_counts(line_trending(spark, sf_dir))
+    return quality.trending_counts(line_trending(spark, sf_dir, described=False))
 
 
 @query("verify_collection", sql(LI_TREND, f"""
@@ -102,9 +102,9 @@ FROM holdings WHERE as_of_date = (SELECT max(as_of_date) FROM holdings)""",
     "i:etf_count i:holding_count i:stock_count i:trending_count"))
 def verify_collection(spark, sf_dir):
     m = line_market(spark, sf_dir)
-    newest = m.holdings.agg(F.max("as_of_date").alias("d")).scalar()
+    newest = m.positions.agg(F.max("as_of_date").alias("d")).scalar()
     return quality.collected_counts(
-        line_trending(spark, sf_dir), m.holdings, m.stock_prices, m.as_of(), newest
+        line_trending(spark, sf_dir, described=False), m.positions, m.stock_prices, m.as_of(), newest
     )
 
 

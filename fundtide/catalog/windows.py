@@ -338,7 +338,7 @@ def union_by_name(spark, sf_dir):
 @query("distinct_rows", sql(
     LI, "SELECT DISTINCT holding_ticker, as_of_date FROM holdings", "holding_ticker d:as_of_date"))
 def distinct_rows(spark, sf_dir):
-    return sets.distinct_rows(line_market(spark, sf_dir).holdings, ["holding_ticker", "as_of_date"])
+    return sets.distinct_rows(line_market(spark, sf_dir).positions, ["holding_ticker", "as_of_date"])
 
 
 @query("dedup_by_key", """

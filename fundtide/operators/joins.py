@@ -112,6 +112,17 @@ def holdings_left_mcap_returns(holdings: DataFrame, market_caps: DataFrame, retu
     )
 
 
+def holdings_left_stocks(holdings: DataFrame, stocks: DataFrame) -> DataFrame:
+    """As :func:`holdings_left_mcap_returns`, with both taken from ``latest_and_return``."""
+    known = stocks.select(
+        F.col("ticker").alias("holding_ticker"), "company_name", "market_cap", "trade_date",
+        F.col("return_pct").alias("holding_return_pct"),
+    )
+    return holdings.join(known, "holding_ticker", "left").withColumn(
+        "holding_name", F.coalesce("holding_name", "company_name")
+    )
+
+
 def holding_across_funds(top_holdings: DataFrame, holding: str | None = None) -> DataFrame:
     """Where a stock ranks in the newest top holdings of all funds; every stock when none is named."""
     newest = top_holdings.groupBy("time_period").agg(F.max("as_of_date").alias("as_of_date"))

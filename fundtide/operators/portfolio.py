@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions.columns import is_trending
-from fundtide.operators.filters import in_set
 from fundtide.operators.joins import returns_with_holdings
 from fundtide.operators.ranking import global_rank
 from fundtide.operators.windows import top_k_per_group
+from fundtide.sources.workspace import materialized
 
 
 def with_benchmark(returns: DataFrame, benchmark: str, on_missing: str = "error") -> DataFrame:
@@ -116,21 +116,18 @@ def allocate(
     stock_returns: DataFrame,
     holdings: DataFrame,
     trending: DataFrame,
-    attributes: DataFrame,
     as_of: Column,
     min_score: float | None = None,
     ranked: bool = True,
 ) -> DataFrame:
     """Best stock of every trending fund, weighted by return over market cap.
 
-    ``stock_returns``: ticker, period_days, return_pct; ``holdings``: etf_ticker,
-    holding_ticker; ``trending``: etf_ticker; ``attributes``: ticker, company_name,
-    sector, market_cap.  One row per (fund, period).
+    ``stock_returns``: ticker, period_days, return_pct and the newest company_name,
+    sector, market_cap; ``holdings``: etf_ticker, holding_ticker; ``trending``:
+    etf_ticker, one row per fund.  One row per (fund, period).
     """
-    known = attributes.filter(F.col("market_cap") > 0)
-    candidates = returns_with_holdings(
-        stock_returns.join(known, "ticker"), in_set(holdings, trending, "etf_ticker")
-    )
+    known = stock_returns.filter(F.col("market_cap") > 0)
+    candidates = returns_with_holdings(known, holdings.join(trending, "etf_ticker", "left_semi"))
     picks = best_per_fund(candidates).withColumns({
         "as_of_date": as_of,
         "allocation_score": F.col("return_pct") * (F.lit(1.0) / F.col("market_cap")),
@@ -138,7 +135,8 @@ def allocate(
     })
     if min_score is not None:
         picks = picks.filter(F.col("allocation_score") >= min_score)
-    weighted = weigh_by_score(picks)
+    # Totals and rows both need the picks; written once, the joins behind them run once.
+    weighted = weigh_by_score(materialized(picks, "picks"))
     return rank_by_weight(weighted) if ranked else weighted
 
 

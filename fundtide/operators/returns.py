@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions.columns import as_column, pct_change
 from fundtide.operators.filters import min_coverage
-from fundtide.operators.windows import last_n_rows
 
 
 def _periods_where(periods: Sequence[int], holds) -> Column:
@@ -22,14 +21,25 @@ def _periods_where(periods: Sequence[int], holds) -> Column:
     return F.explode(F.array_compact(F.array(*[F.when(holds(p), F.lit(p)) for p in periods])))
 
 
-def rows_by_period(bars: DataFrame, periods: Sequence[int], key: str = "ticker") -> DataFrame:
+def rows_by_period(
+    bars: DataFrame, periods: Sequence[int], key: str = "ticker", carry: Sequence[str] = ()
+) -> DataFrame:
     """Each of the newest rows once per period it belongs to (``period_days``).
 
     One numbering serves all periods, and grouping by (key, period) afterwards
-    needs no further shuffle.
+    needs no further shuffle.  ``carry`` columns take the value of the key's newest
+    row, in the same window.
     """
-    newest = last_n_rows(bars, max(periods), key)
-    return newest.withColumn("period_days", _periods_where(periods, lambda p: F.col("row_num") <= p))
+    newest_first = Window.partitionBy(key).orderBy(F.col("trade_date").desc())
+    so_far = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = bars.select(
+        key, "trade_date", "close_price",
+        *[F.first(c).over(so_far).alias(c) for c in carry],
+        F.row_number().over(newest_first).alias("row_num"),
+    )
+    return numbered.filter(F.col("row_num") <= max(periods)).withColumn(
+        "period_days", _periods_where(periods, lambda p: F.col("row_num") <= p)
+    )
 
 
 def _summarize(rows: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
@@ -54,10 +64,14 @@ def period_returns(
     kind: str = "range",
     key: str = "ticker",
     coverage: float = settings.MIN_COVERAGE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Return of every ticker over its newest N rows, for several N in one pass."""
-    rows = rows_by_period(bars.select(key, "trade_date", "close_price"), periods, key)
-    return min_coverage(_summarize(rows, [key, "period_days"], kind), coverage)
+    """Return of every ticker over its newest N rows, for several N in one pass.
+
+    ``carry`` adds attributes of the ticker's newest row without another read.
+    """
+    rows = rows_by_period(bars, periods, key, carry)
+    return min_coverage(_summarize(rows, [key, "period_days", *carry], kind), coverage)
 
 
 def range_return(bars: DataFrame, period: int, **options) -> DataFrame:
@@ -80,6 +94,27 @@ def point_return(bars: DataFrame, keys: Sequence[str] = ("ticker",)) -> DataFram
     )
 
 
+def latest_and_return(bars: DataFrame) -> DataFrame:
+    """Newest name, market cap and date of every stock with its point return, from one grouping.
+
+    A stock that starts at or below zero keeps its attributes and has no return.
+    """
+    return (
+        bars.groupBy("ticker")
+        .agg(
+            F.max_by("company_name", "trade_date").alias("company_name"),
+            F.max_by("market_cap", "trade_date").alias("market_cap"),
+            F.max("trade_date").alias("trade_date"),
+            F.min_by("close_price", "trade_date").alias("start_price"),
+            F.max_by("close_price", "trade_date").alias("end_price"),
+        )
+        .withColumn(
+            "return_pct",
+            F.when(F.col("start_price") > 0, pct_change(F.col("end_price"), F.col("start_price"))),
+        )
+    )
+
+
 def calendar_periods(
     bars: DataFrame, as_of, periods: Sequence[int], slack_days: int = 0, date: str = "trade_date"
 ) -> DataFrame:

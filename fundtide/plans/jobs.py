@@ -23,7 +23,7 @@ def _recent(bars: DataFrame, as_of: Column, period: int, slack_days: int | None)
 
 def trending_funds(
     fund_prices: DataFrame,
-    meta: DataFrame,
+    meta: DataFrame | None,
     benchmark: str,
     as_of,
     periods: Sequence[int] = (20,),
@@ -35,13 +35,17 @@ def trending_funds(
     """Every fund but the benchmark with its period return, the benchmark's, a flag and a rank.
 
     ``slack_days`` widens the calendar pre-filter of a period; None reads all
-    history, for series with long gaps.
+    history, for series with long gaps.  Without ``meta`` type and sector are left out.
     """
     end = C.as_column(as_of)
     bars = _recent(fund_prices, end, max(periods), slack_days)
     gains = returns.period_returns(bars, periods, kind)
-    flagged = joins.prices_with_meta(portfolio.flag_trending(gains, benchmark, on_missing), meta).select(
-        end.alias("as_of_date"), F.col("ticker").alias("etf_ticker"), "etf_type", "sector_name",
+    flagged = portfolio.flag_trending(gains, benchmark, on_missing)
+    described = [] if meta is None else ["etf_type", "sector_name"]
+    if meta is not None:
+        flagged = joins.prices_with_meta(flagged, meta)
+    flagged = flagged.select(
+        end.alias("as_of_date"), F.col("ticker").alias("etf_ticker"), *described,
         "return_pct", "benchmark_return", "is_trending", "period_days",
     )
     if not ranked:
@@ -75,11 +79,12 @@ def portfolio_allocation(
         .select("etf_ticker", "holding_ticker").distinct(),
         "holding_ticker",
     )
+    attributes = ["company_name", "sector", "market_cap"]
+    gains = returns.period_returns(usable, periods, kind, carry=attributes)
     return portfolio.allocate(
-        returns.period_returns(usable, periods, kind).select("ticker", "period_days", "return_pct"),
+        gains.select("ticker", "period_days", "return_pct", *attributes),
         pairs,
         trending.filter("is_trending").select("etf_ticker"),
-        joins.latest_attributes(usable),
         end,
         ranked=ranked,
     )
@@ -170,12 +175,8 @@ def trending_top_holdings_board(
     held = joins.latest_snapshot(
         holdings.select("etf_ticker", "holding_ticker", "holding_name", "as_of_date")
     ).join(targets, "etf_ticker")
-    recent = since(stocks, end, days)
-    caps = latest_per_key(
-        recent.select("ticker", "company_name", "market_cap", "trade_date"), ["ticker"], "trade_date"
-    )
-    gains = returns.point_return(recent.select("ticker", "trade_date", "close_price"))
-    board = joins.holdings_left_mcap_returns(held, caps, gains)
+    known = returns.latest_and_return(since(stocks, end, days))
+    board = joins.holdings_left_stocks(held, known)
     return ranking.market_cap_rank(board, k).select(
         "etf_ticker", "etf_return_pct", "is_benchmark", "is_trending", "holding_ticker", "holding_name",
         "market_cap", "trade_date", "as_of_date", "mcap_rank", "holding_return_pct",

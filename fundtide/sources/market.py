@@ -18,10 +18,11 @@ happens in partial hash aggregates (primitive buffers) before any shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fundtide.functions.columns import lookup, minor_units, rounded
 from fundtide.operators.windows import daily_change
@@ -30,24 +31,66 @@ from fundtide.operators.windows import daily_change
 EVENT_FUND_SECTORS = {"click": "S0", "error": "S1", "purchase": "S2", "signup": "S3"}
 EVENT_FUNDS = ("click", "error", "purchase", "signup", "view")
 
+Frame = Callable[[], DataFrame]
+
 
-@dataclass(frozen=True)
 class Market:
-    fund_meta: DataFrame
-    fund_prices: DataFrame
-    stock_prices: DataFrame
-    holdings: DataFrame
-    benchmark: str
-    benchmark_funds: tuple[str, ...]
-    clock: Callable[[int], Column]
+    """The base tables of a market; each is planned on first use."""
+
+    def __init__(
+        self,
+        fund_meta: Frame,
+        fund_prices: Frame,
+        stock_prices: Frame,
+        positions: Frame,
+        holdings: Callable[[DataFrame], DataFrame],
+        benchmark: str,
+        benchmark_funds: tuple[str, ...],
+        clock: Callable[[int], Column],
+    ):
+        self._build = dict(
+            fund_meta=fund_meta, fund_prices=fund_prices, stock_prices=stock_prices, positions=positions
+        )
+        self._describe = holdings
+        self._clock = clock
+        self.benchmark = benchmark
+        self.benchmark_funds = benchmark_funds
+
+    @cached_property
+    def fund_meta(self) -> DataFrame:
+        return self._build["fund_meta"]()
+
+    @cached_property
+    def fund_prices(self) -> DataFrame:
+        return self._build["fund_prices"]()
+
+    @cached_property
+    def stock_prices(self) -> DataFrame:
+        return self._build["stock_prices"]()
+
+    @cached_property
+    def positions(self) -> DataFrame:
+        """Holdings without percent and name, for jobs that need only the pairs."""
+        return self._build["positions"]()
+
+    @cached_property
+    def holdings(self) -> DataFrame:
+        return self._describe(self.positions)
 
     def as_of(self, days_back: int = 0) -> Column:
         """Newest trade date minus ``days_back``, as a scalar subquery over one raw column."""
-        return self.clock(days_back)
+        return self._clock(days_back)
+
+
+@cache
+def _schema_of(spark: SparkSession, path: str) -> StructType:
+    """Schema of a table, read from its footers once per session."""
+    return spark.read.parquet(path).schema
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    return spark.read.schema(_schema_of(spark, path)).parquet(path)
 
 
 def _clock(raw: DataFrame, ts: str) -> Callable[[int], Column]:
@@ -67,25 +110,17 @@ def _since(raw: DataFrame, ts: str, last_days: int | None) -> DataFrame:
     return raw.filter(F.col(ts) >= bound)
 
 
-def _with_share(positions: DataFrame) -> DataFrame:
+def _with_share(positions: DataFrame, totals: DataFrame) -> DataFrame:
     """Position value as percent of its fund's snapshot.
 
     A snapshot of one fund can be a large part of the table, so its total is
-    aggregated and joined back rather than computed in a window over the group.
+    aggregated from the raw rows and joined, not computed in a window over the group.
     """
-    snapshot = ("etf_ticker", "as_of_date")
-    totals = positions.groupBy(*snapshot).agg(F.sum("value_cents").alias("total_cents"))
-    return positions.join(totals, list(snapshot)).withColumn(
+    return positions.join(totals, ["etf_ticker", "as_of_date"]).withColumn(
         "holding_percent", F.try_divide(F.col("value_cents"), F.col("total_cents")) * F.lit(100.0)
     )
 
 
-_HOLDING_COLUMNS = (
-    "etf_ticker", "holding_ticker", "holding_name", "holding_percent",
-    "holding_shares", "holding_value", "as_of_date", "source",
-)
-
-
 def event_ticks(spark: SparkSession, sf_dir: str, last_days: int | None = None) -> DataFrame:
     """``events`` as ticks: one row per trade of one unit."""
     raw = _since(load(spark, sf_dir, "events"), "ts", last_days)
@@ -109,146 +144,159 @@ def event_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
     ``last_days`` reads only the newest days.  The first bar in such a slice has
     no predecessor, so queries that use daily changes leave it unset.
     """
-    ticks = event_ticks(spark, sf_dir, last_days)
     events = load(spark, sf_dir, "events")
 
-    bars = ticks.groupBy("user_id", "trade_date").agg(
-        F.min_by("price", "ts").alias("open_price"),
-        F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"),
-        F.max_by("price", "ts").alias("close_price"),
-        F.sum("volume").alias("volume"),
-    )
-    stocks = daily_change(bars, key="user_id").select(
-        F.col("user_id").cast("string").alias("ticker"),
-        F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("company_name"),
-        F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")).alias("sector"),
-        "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",
-        "price_change_percent",
-        ((F.col("user_id") % 97 + 1) * 1000000000).alias("market_cap"),
-    )
+    @cache
+    def ticks() -> DataFrame:
+        return event_ticks(spark, sf_dir, last_days)
+
+    def stock_prices() -> DataFrame:
+        bars = ticks().groupBy("user_id", "trade_date").agg(
+            F.min_by("price", "ts").alias("open_price"),
+            F.max("price").alias("high_price"),
+            F.min("price").alias("low_price"),
+            F.max_by("price", "ts").alias("close_price"),
+            F.sum("volume").alias("volume"),
+        )
+        return daily_change(bars, key="user_id").select(
+            F.col("user_id").cast("string").alias("ticker"),
+            F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("company_name"),
+            F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")).alias("sector"),
+            "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",
+            "price_change_percent",
+            ((F.col("user_id") % 97 + 1) * 1000000000).alias("market_cap"),
+        )
 
-    fund_bars = ticks.groupBy(F.col("fund").alias("ticker"), "trade_date").agg(
-        F.min_by("price", "seq").alias("open_price"),
-        F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"),
-        (F.sum("cents") / F.count("*") / F.lit(100.0)).alias("close_price"),
-        F.sum("volume").alias("volume"),
-    )
+    def fund_prices() -> DataFrame:
+        return daily_change(ticks().groupBy(F.col("fund").alias("ticker"), "trade_date").agg(
+            F.min_by("price", "seq").alias("open_price"),
+            F.max("price").alias("high_price"),
+            F.min("price").alias("low_price"),
+            (F.sum("cents") / F.count("*") / F.lit(100.0)).alias("close_price"),
+            F.sum("volume").alias("volume"),
+        ))
+
+    def fund_meta() -> DataFrame:
+        return events.select(F.col("event_type").alias("ticker")).distinct().select(
+            "ticker",
+            F.when(F.col("ticker") == "view", "benchmark").otherwise("sector").alias("etf_type"),
+            lookup(F.col("ticker"), EVENT_FUND_SECTORS).alias("sector_name"),
+        )
 
-    funds = events.select(F.col("event_type").alias("ticker")).distinct().select(
-        "ticker",
-        F.when(F.col("ticker") == "view", "benchmark").otherwise("sector").alias("etf_type"),
-        lookup(F.col("ticker"), EVENT_FUND_SECTORS).alias("sector_name"),
-    )
+    def positions() -> DataFrame:
+        held = ticks().groupBy(
+            F.col("fund").alias("etf_ticker"), "user_id", F.trunc("trade_date", "week").alias("as_of_date")
+        ).agg(F.sum("volume").alias("holding_shares"), F.sum("cents").alias("value_cents"))
+        return held.withColumn("holding_ticker", F.col("user_id").cast("string"))
+
+    def holdings(held: DataFrame) -> DataFrame:
+        totals = ticks().groupBy(
+            F.col("fund").alias("etf_ticker"), F.trunc("trade_date", "week").alias("as_of_date")
+        ).agg(F.sum("cents").alias("total_cents"))
+        return _with_share(held, totals).select(
+            "etf_ticker", "holding_ticker",
+            F.concat(F.lit("User "), F.col("holding_ticker")).alias("holding_name"),
+            "holding_percent", "holding_shares",
+            (F.col("value_cents") / F.lit(100.0)).alias("holding_value"),
+            "as_of_date", F.lit("events").alias("source"),
+        )
 
-    positions = ticks.groupBy(
-        F.col("fund").alias("etf_ticker"), "user_id", F.trunc("trade_date", "week").alias("as_of_date")
-    ).agg(F.sum("volume").alias("holding_shares"), F.sum("cents").alias("value_cents"))
-    holdings = _with_share(positions).select(
-        "etf_ticker",
-        F.col("user_id").cast("string").alias("holding_ticker"),
-        F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("holding_name"),
-        "holding_percent",
-        "holding_shares",
-        (F.col("value_cents") / F.lit(100.0)).alias("holding_value"),
-        "as_of_date",
-        F.lit("events").alias("source"),
-    )
     return Market(
-        fund_meta=funds,
-        fund_prices=daily_change(fund_bars),
-        stock_prices=stocks,
-        holdings=holdings.select(*_HOLDING_COLUMNS),
-        benchmark="view",
-        benchmark_funds=("view",),
-        clock=_clock(events, "ts"),
+        fund_meta, fund_prices, stock_prices, positions, holdings,
+        benchmark="view", benchmark_funds=("view",), clock=_clock(events, "ts"),
     )
 
 
 def line_market(spark: SparkSession, sf_dir: str, last_days: int | None = None) -> Market:
     """Wide and sparse: suppliers are funds, parts are stocks, supplier 0 is the benchmark."""
     raw = load(spark, sf_dir, "lineitem")
-    supplier = load(spark, sf_dir, "supplier")
-    part = load(spark, sf_dir, "part")
-    nation = load(spark, sf_dir, "nation")
-    region = load(spark, sf_dir, "region")
-
-    unit_price = rounded(F.col("l_extendedprice") / F.col("l_quantity"))
-    lines = _since(raw, "l_shipdate", last_days).select(
-        "l_suppkey", "l_partkey",
-        F.to_date("l_shipdate").alias("trade_date"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
-        unit_price.alias("price"),
-        minor_units(F.col("l_extendedprice") / F.col("l_quantity"), 6).alias("micros"),
-        F.col("l_quantity").cast("bigint").alias("volume"),
-        minor_units(F.col("l_extendedprice")).alias("value_cents"),
-    )
 
-    fund_bars = lines.groupBy("l_suppkey", "trade_date").agg(
-        F.min_by("price", "seq").alias("open_price"),
-        F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"),
-        (F.sum("micros") / F.count("*") / F.lit(1000000.0)).alias("close_price"),
-        F.sum("volume").alias("volume"),
-    )
-    fund_prices = daily_change(fund_bars, key="l_suppkey").select(
-        F.col("l_suppkey").cast("string").alias("ticker"),
-        "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",
-        "price_change_percent",
-    )
+    @cache
+    def lines() -> DataFrame:
+        price = F.col("l_extendedprice") / F.col("l_quantity")
+        return _since(raw, "l_shipdate", last_days).select(
+            "l_suppkey", "l_partkey",
+            F.to_date("l_shipdate").alias("trade_date"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
+            rounded(price).alias("price"),
+            minor_units(price, 6).alias("micros"),
+            F.col("l_quantity").cast("bigint").alias("volume"),
+            minor_units(F.col("l_extendedprice")).alias("value_cents"),
+        )
 
-    is_benchmark = F.col("s_suppkey") < 6
-    fund_meta = (
-        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("s_suppkey").cast("string").alias("ticker"),
-            F.when(is_benchmark, "benchmark").otherwise("sector").alias("etf_type"),
-            F.when(~is_benchmark, F.col("r_name")).alias("sector_name"),
+    @cache
+    def attributes() -> DataFrame:
+        return load(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("l_partkey"),
+            F.col("p_name").alias("company_name"),
+            F.col("p_type").alias("sector"),
+            minor_units(F.col("p_retailprice") * (F.col("p_size") + 1) * 1000000, 0).alias("market_cap"),
         )
-    )
 
-    bars = lines.groupBy("l_partkey", "trade_date").agg(
-        F.min_by("price", "seq").alias("open_price"),
-        F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"),
-        F.max_by("price", "seq").alias("close_price"),
-        F.sum("volume").alias("volume"),
-    )
-    attributes = part.select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.col("p_name").alias("company_name"),
-        F.col("p_type").alias("sector"),
-        minor_units(F.col("p_retailprice") * (F.col("p_size") + 1) * 1000000, 0).alias("market_cap"),
-    )
-    stock_prices = daily_change(bars, key="l_partkey").join(attributes, "l_partkey").select(
-        F.col("l_partkey").cast("string").alias("ticker"),
-        "company_name", "sector", "trade_date", "open_price", "high_price", "low_price",
-        "close_price", "volume", "price_change_percent", "market_cap",
-    )
+    def fund_prices() -> DataFrame:
+        bars = lines().groupBy("l_suppkey", "trade_date").agg(
+            F.min_by("price", "seq").alias("open_price"),
+            F.max("price").alias("high_price"),
+            F.min("price").alias("low_price"),
+            (F.sum("micros") / F.count("*") / F.lit(1000000.0)).alias("close_price"),
+            F.sum("volume").alias("volume"),
+        )
+        return daily_change(bars, key="l_suppkey").select(
+            F.col("l_suppkey").cast("string").alias("ticker"),
+            "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",
+            "price_change_percent",
+        )
 
-    positions = lines.groupBy(
-        F.col("l_suppkey").alias("etf_ticker"), "l_partkey", F.trunc("trade_date", "month").alias("as_of_date")
-    ).agg(F.sum("volume").alias("holding_shares"), F.sum("value_cents").alias("value_cents"))
-    holdings = (
-        _with_share(positions)
-        .join(attributes.select("l_partkey", F.col("company_name").alias("holding_name")), "l_partkey")
-        .select(
-            F.col("etf_ticker").cast("string").alias("etf_ticker"),
+    def fund_meta() -> DataFrame:
+        is_benchmark = F.col("s_suppkey") < 6
+        nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+        return (
+            load(spark, sf_dir, "supplier")
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(
+                F.col("s_suppkey").cast("string").alias("ticker"),
+                F.when(is_benchmark, "benchmark").otherwise("sector").alias("etf_type"),
+                F.when(~is_benchmark, F.col("r_name")).alias("sector_name"),
+            )
+        )
+
+    def stock_prices() -> DataFrame:
+        bars = lines().groupBy("l_partkey", "trade_date").agg(
+            F.min_by("price", "seq").alias("open_price"),
+            F.max("price").alias("high_price"),
+            F.min("price").alias("low_price"),
+            F.max_by("price", "seq").alias("close_price"),
+            F.sum("volume").alias("volume"),
+        )
+        return daily_change(bars, key="l_partkey").join(attributes(), "l_partkey").select(
+            F.col("l_partkey").cast("string").alias("ticker"),
+            "company_name", "sector", "trade_date", "open_price", "high_price", "low_price",
+            "close_price", "volume", "price_change_percent", "market_cap",
+        )
+
+    def positions() -> DataFrame:
+        held = lines().groupBy("l_suppkey", "l_partkey", F.trunc("trade_date", "month").alias("as_of_date")).agg(
+            F.sum("volume").alias("holding_shares"), F.sum("value_cents").alias("value_cents")
+        )
+        return held.select(
+            F.col("l_suppkey").cast("string").alias("etf_ticker"),
             F.col("l_partkey").cast("string").alias("holding_ticker"),
-            "holding_name", "holding_percent", "holding_shares",
+            "as_of_date", "holding_shares", "value_cents", "l_partkey",
+        )
+
+    def holdings(held: DataFrame) -> DataFrame:
+        names = attributes().select("l_partkey", F.col("company_name").alias("holding_name"))
+        totals = lines().groupBy("l_suppkey", F.trunc("trade_date", "month").alias("as_of_date")).agg(
+            F.sum("value_cents").alias("total_cents")
+        ).withColumn("etf_ticker", F.col("l_suppkey").cast("string")).drop("l_suppkey")
+        return _with_share(held, totals).join(names, "l_partkey").select(
+            "etf_ticker", "holding_ticker", "holding_name", "holding_percent", "holding_shares",
             (F.col("value_cents") / F.lit(100.0)).alias("holding_value"),
-            "as_of_date",
-            F.lit("lineitem").alias("source"),
+            "as_of_date", F.lit("lineitem").alias("source"),
         )
-    )
+
     return Market(
-        fund_meta=fund_meta,
-        fund_prices=fund_prices,
-        stock_prices=stock_prices,
-        holdings=holdings.select(*_HOLDING_COLUMNS),
-        benchmark="0",
-        benchmark_funds=("0", "1", "2", "3", "4", "5"),
-        clock=_clock(raw, "l_shipdate"),
+        fund_meta, fund_prices, stock_prices, positions, holdings,
+        benchmark="0", benchmark_funds=("0", "1", "2", "3", "4", "5"), clock=_clock(raw, "l_shipdate"),
     )

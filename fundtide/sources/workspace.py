@@ -16,15 +16,14 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if named:
         return named.rstrip("/")
-    existing = context.getCheckpointDir()
+    existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
     own = tempfile.mkdtemp(prefix="fundtide-")
-    context.setCheckpointDir(own)
+    spark.sparkContext.setCheckpointDir(own)
     return own
 
 
@@ -33,10 +32,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/fundtide/{name}-{uuid.uuid4().hex}"
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so lost executors cannot change the rows."""
+def materialized(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage: write the rows to the shared folder once and go on from there.
+
+    Lost executors cannot change rows already written, the rows are computed once,
+    and readers know their size.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
