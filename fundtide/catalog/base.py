@@ -328,9 +328,12 @@ def line_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_rebalance(line_stock_allocation(spark, sf_dir))
 
 
-def event_top_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_top_holdings(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """Top holdings; ``stored`` writes them first, for queries that read them several times."""
     from fundtide.plans.jobs import fund_top_holdings
     from fundtide.sources.market import event_market
+    from fundtide.sources.workspace import materialized
 
     m = event_market(spark, sf_dir)
-    return fund_top_holdings(m.fund_meta, m.holdings, m.stock_prices, m.as_of())
+    top = fund_top_holdings(m.fund_meta, m.holdings, m.stock_prices, m.as_of())
+    return materialized(top, "top-holdings") if stored else top

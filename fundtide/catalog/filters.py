@@ -10,7 +10,8 @@ from fundtide.catalog.base import (
 )
 from fundtide.functions import columns as C
 from fundtide.operators import boards, filters, portfolio, returns
-from fundtide.sources.market import EVENT_FUND_SECTORS, event_market, event_ticks, line_market, load
+from fundtide.sources.market import EVENT_FUND_SECTORS, event_market, line_market, load
+from fundtide.sources.workspace import materialized
 
 
 @query("filter_trailing_days", sql(
@@ -155,7 +156,7 @@ classified AS (
 
 def classified_funds(spark, sf_dir):
     m = line_market(spark, sf_dir, last_days=60)
-    gains = returns.point_return(filters.trailing_days(m.fund_prices, m.as_of(), 60))
+    gains = materialized(returns.point_return(filters.trailing_days(m.fund_prices, m.as_of(), 60)), "fund-returns")
     reference = gains.filter(F.col("ticker") == m.benchmark).agg(F.max("return_pct").alias("r")).scalar()
     return filters.classify_funds(gains, m.fund_meta, reference, m.benchmark, m.benchmark_funds)
 

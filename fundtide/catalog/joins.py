@@ -12,7 +12,8 @@ from fundtide.catalog.plans import LI_BOARD, PRIORITY, _PRIORITY_SQL, line_board
 from fundtide.operators import joins, portfolio, returns
 from fundtide.operators.windows import latest_per_key, since
 from fundtide.sources import tables
-from fundtide.sources.market import EVENT_FUND_SECTORS, event_market, line_market, load
+from fundtide.sources.market import event_market, line_market, load
+from fundtide.sources.workspace import materialized
 
 
 @query("prices_with_meta", sql(
@@ -202,7 +203,7 @@ def holdings_left_mcap_returns(spark, sf_dir):
     "holding_ticker i:time_period etf_ticker etf_type sector_name i:rank_position f:total_return f:volatility "
     "d:as_of_date"))
 def holding_across_funds(spark, sf_dir):
-    return joins.holding_across_funds(event_top_holdings(spark, sf_dir))
+    return joins.holding_across_funds(event_top_holdings(spark, sf_dir, stored=True))
 
 
 TRENDING_COVERAGE = LI_TREND + f"""
@@ -264,7 +265,7 @@ FROM board b LEFT JOIN offers o ON o.holding_ticker = b.holding_ticker
 WHERE is_trending AND holding_return_pct IS NOT NULL""",
     "etf_ticker holding_ticker f:holding_return_pct source_etf source_type"))
 def pick_source_fund(spark, sf_dir):
-    board = line_board(spark, sf_dir)
+    board = materialized(line_board(spark, sf_dir), "board")
     picks = board.filter(F.col("is_trending") & F.col("holding_return_pct").isNotNull())
     return joins.pick_source_fund(picks, board.filter("is_benchmark"), PRIORITY).select(
         "etf_ticker", "holding_ticker", "holding_return_pct", "source_etf", "source_type"

@@ -68,7 +68,7 @@ WHERE p NOT IN (SELECT time_period FROM top_holdings)""",
     "grouping_name item i:record_count i:etf_count d:latest_date").replace(
         "CAST(CAST(latest_date AS DATE) AS VARCHAR)", "COALESCE(CAST(CAST(latest_date AS DATE) AS VARCHAR), 'none')"))
 def verify_results(spark, sf_dir):
-    top = event_top_holdings(spark, sf_dir)
+    top = event_top_holdings(spark, sf_dir, stored=True)
     zero = F.lit(0).cast("bigint")
 
     def shaped(frame, name, item):

@@ -299,7 +299,7 @@ SELECT * FROM top_holdings WHERE time_period = 20
   AND etf_ticker IN (SELECT DISTINCT etf_ticker FROM top_holdings WHERE time_period = 20 ORDER BY 1 LIMIT 3)""",
     "etf_ticker i:rank_position holding_ticker f:total_return"))
 def limit_funds(spark, sf_dir):
-    rows = event_top_holdings(spark, sf_dir).filter("time_period = 20")
+    rows = event_top_holdings(spark, sf_dir, stored=True).filter("time_period = 20")
     return ranking.limit_groups(rows, "etf_ticker", 3).select(
         "etf_ticker", "rank_position", "holding_ticker", "total_return"
     )

@@ -13,6 +13,7 @@ from fundtide.functions.columns import as_column, is_trending
 from fundtide.operators.ranking import global_rank
 from fundtide.operators.returns import calendar_periods, point_return
 from fundtide.operators.windows import latest_per_key, since, top_k_per_group
+from fundtide.sources.workspace import materialized
 
 
 def sector_summary(stocks: DataFrame, as_of, days: int = 7) -> DataFrame:
@@ -81,17 +82,19 @@ def month_start(as_of) -> Column:
 def mtd_top_equal_weight(stocks: DataFrame, as_of, k: int = 10) -> DataFrame:
     """Top tickers by average daily change this month; over the whole history when the month is empty."""
     rows = _market_rows(stocks)
-    this_month = rows.filter(F.col("trade_date") >= month_start(as_of))
-    empty = this_month.agg((F.count("*") == 0).alias("e")).scalar()
-
-    def top(frame: DataFrame) -> DataFrame:
-        return (
-            frame.groupBy("ticker", "company_name", "sector")
-            .agg(F.avg("price_change_percent").alias("avg_change"))
-            .orderBy(F.col("avg_change").desc(), "ticker").limit(k)
-        )
-
-    return top(this_month).unionByName(top(rows.filter(empty)))
+    start = month_start(as_of)
+    # The first day to read is one value: the month's start, or the beginning when the month has no row.
+    first_day = (
+        rows.filter(F.col("trade_date") >= start)
+        .agg(F.when(F.count("*") == 0, F.lit("0001-01-01").cast("date")).otherwise(start).alias("d"))
+        .scalar()
+    )
+    return (
+        rows.filter(F.col("trade_date") >= first_day)
+        .groupBy("ticker", "company_name", "sector")
+        .agg(F.avg("price_change_percent").alias("avg_change"))
+        .orderBy(F.col("avg_change").desc(), "ticker").limit(k)
+    )
 
 
 def sector_leaders(stocks: DataFrame, as_of, k: int = 10, month_to_date: bool = True) -> DataFrame:
@@ -104,15 +107,23 @@ def sector_leaders(stocks: DataFrame, as_of, k: int = 10, month_to_date: bool =
     rows = _market_rows(stocks)
     if month_to_date:
         rows = rows.filter(F.col("trade_date") >= month_start(end))
-    sectors = rows.groupBy("sector").agg(F.avg("price_change_percent").alias("sector_avg"))
+    # The rows are read once; sector averages come from the per-ticker sums.
+    tickers = materialized(
+        rows.groupBy("ticker", "company_name", "sector").agg(
+            F.avg("price_change_percent").alias("avg_monthly_return"),
+            F.sum("price_change_percent").alias("change_sum"),
+            F.count("price_change_percent").alias("changes"),
+        ),
+        "ticker-averages",
+    )
+    sectors = tickers.groupBy("sector").agg(
+        F.try_divide(F.sum("change_sum"), F.sum("changes")).alias("sector_avg")
+    )
     none_rises = sectors.agg((F.count_if(F.col("sector_avg") > 0) == 0).alias("n")).scalar()
     chosen = (
         sectors.filter((F.col("sector_avg") > 0) | none_rises)
         .orderBy(F.col("sector_avg").desc(), "sector").limit(k)
     )
-    tickers = rows.groupBy("ticker", "company_name", "sector").agg(
-        F.avg("price_change_percent").alias("avg_monthly_return")
-    )
     best = top_k_per_group(
         tickers.join(chosen.select("sector"), "sector", "left_semi"),
         ["sector"], [F.col("avg_monthly_return").desc(), F.col("ticker")], 1, "_n",

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtide.functions.columns import as_column, pct_change
+from fundtide.sources.workspace import materialized
 
 
 def _newest_first(key: str, date: str) -> Window:
@@ -134,8 +135,13 @@ def weighted_portfolio_curve(bars: DataFrame, weights: DataFrame, benchmark: Dat
     that have any bar.  With no positive weight the plain mean is used.
     ``weights`` holds one row per portfolio name (ticker, weight).
     """
-    held = bars.filter(F.col("close_price").isNotNull()).join(weights, "ticker").select(
-        "ticker", "trade_date", "close_price", F.coalesce("weight", F.lit(0.0)).alias("weight")
+    weights = materialized(weights.select("ticker", "weight"), "weights")
+    # One portfolio's names over the display window; used four times below.
+    held = materialized(
+        bars.filter(F.col("close_price").isNotNull()).join(weights, "ticker").select(
+            "ticker", "trade_date", "close_price", F.coalesce("weight", F.lit(0.0)).alias("weight")
+        ),
+        "held",
     )
     first_day = held.agg(F.min("trade_date").alias("d")).scalar()
     base = held.filter(F.col("trade_date") == first_day).select(

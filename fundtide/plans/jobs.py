@@ -1,7 +1,9 @@
 """The batch jobs: trend, allocation, top holdings, monthly rebalance, board, views, work list.
 
-Each is one lazy plan over all periods; nothing is collected.  The only actions
-are the reliable checkpoints behind full rankings.
+Each is one plan over all periods; nothing is collected.  The only actions write
+small intermediate results that several branches need - a few rows per fund, or
+the range-sorted rows behind a full ranking - to the shared folder, so that the
+history behind them is read once.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from fundtide import settings
 from fundtide.functions import columns as C
 from fundtide.operators import boards, filters, joins, portfolio, ranking, returns
 from fundtide.operators.windows import latest_per_key, since, top_k_per_group
+from fundtide.sources.workspace import materialized
 
 
 def _recent(bars: DataFrame, as_of: Column, period: int, slack_days: int | None) -> DataFrame:
@@ -39,7 +42,8 @@ def trending_funds(
     """
     end = C.as_column(as_of)
     bars = _recent(fund_prices, end, max(periods), slack_days)
-    gains = returns.period_returns(bars, periods, kind)
+    # A few rows per fund, needed for the funds and for the benchmark: written once, history is read once.
+    gains = materialized(returns.period_returns(bars, periods, kind), "fund-returns")
     flagged = portfolio.flag_trending(gains, benchmark, on_missing)
     described = [] if meta is None else ["etf_type", "sector_name"]
     if meta is not None:
@@ -159,9 +163,12 @@ def trending_top_holdings_board(
 ) -> DataFrame:
     """Largest holdings of every benchmark and trending fund, with fund and stock returns."""
     end = C.as_column(as_of)
-    fund_gain = returns.point_return(
-        since(fund_prices, end, days).select("ticker", "trade_date", "close_price")
-    ).select("ticker", "return_pct")
+    fund_gain = materialized(
+        returns.point_return(
+            since(fund_prices, end, days).select("ticker", "trade_date", "close_price")
+        ).select("ticker", "return_pct"),
+        "fund-returns",
+    )
     reference = fund_gain.filter(F.col("ticker") == benchmark).agg(F.max("return_pct").alias("r")).scalar()
     beats = (F.col("ticker") != benchmark) & C.is_trending(
         F.col("return_pct"), F.coalesce(reference, F.lit(0.0))
