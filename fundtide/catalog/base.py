@@ -300,7 +300,7 @@ def line_trending(spark: SparkSession, sf_dir: str, ranked: bool = False, descri
 
     m = line_market(spark, sf_dir)
     meta = m.fund_meta if described else None
-    return trending_funds(m.fund_prices, meta, m.benchmark, m.as_of(), slack_days=None, ranked=ranked)
+    return trending_funds(m.fund_prices, meta, m.benchmark, m.clock, slack_days=None, ranked=ranked)
 
 
 def line_allocation(spark: SparkSession, sf_dir: str, ranked: bool = False) -> DataFrame:
@@ -310,7 +310,7 @@ def line_allocation(spark: SparkSession, sf_dir: str, ranked: bool = False) -> D
     m = line_market(spark, sf_dir)
     trending = line_trending(spark, sf_dir, described=False)
     return portfolio_allocation(
-        trending, m.positions, m.stock_prices, m.as_of(), slack_days=None, ranked=ranked
+        trending, m.positions, m.stock_prices, m.clock, slack_days=None, ranked=ranked
     )
 
 
@@ -335,5 +335,5 @@ def event_top_holdings(spark: SparkSession, sf_dir: str, stored: bool = False) -
     from fundtide.sources.workspace import materialized
 
     m = event_market(spark, sf_dir)
-    top = fund_top_holdings(m.fund_meta, m.holdings, m.stock_prices, m.as_of())
+    top = fund_top_holdings(m.fund_meta, m.holdings, m.stock_prices, m.clock)
     return materialized(top, "top-holdings") if stored else top

@@ -19,7 +19,7 @@ from fundtide.sources.workspace import materialized
     "ticker company_name sector d:trade_date f:close_price f:price_change_percent i:volume i:market_cap"))
 def filter_trailing_days(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    return filters.trailing_days(m.stock_prices, m.as_of(), 7).select(
+    return filters.trailing_days(m.stock_prices, m.clock, 7).select(
         "ticker", "company_name", "sector", "trade_date", "close_price", "price_change_percent", "volume", "market_cap"
     )
 
@@ -80,7 +80,7 @@ JOIN (VALUES (5), (10), (20)) period(p) ON trade_date >= {AS_OF} - (p + 20)
 GROUP BY ticker, p HAVING count(*) >= p * 0.7""", "ticker i:period_days i:day_count"))
 def filter_min_coverage(spark, sf_dir):
     m = line_market(spark, sf_dir, last_days=40)
-    windows = returns.calendar_periods(m.fund_prices.select("ticker", "trade_date"), m.as_of(), (5, 10, 20), 20)
+    windows = returns.calendar_periods(m.fund_prices.select("ticker", "trade_date"), m.clock, (5, 10, 20), 20)
     return filters.min_coverage(windows.groupBy("ticker", "period_days").agg(F.count("*").alias("day_count")))
 
 
@@ -156,7 +156,7 @@ classified AS (
 
 def classified_funds(spark, sf_dir):
     m = line_market(spark, sf_dir, last_days=60)
-    gains = materialized(returns.point_return(filters.trailing_days(m.fund_prices, m.as_of(), 60)), "fund-returns")
+    gains = materialized(returns.point_return(filters.trailing_days(m.fund_prices, m.clock, 60)), "fund-returns")
     reference = gains.filter(F.col("ticker") == m.benchmark).agg(F.max("return_pct").alias("r")).scalar()
     return filters.classify_funds(gains, m.fund_meta, reference, m.benchmark, m.benchmark_funds)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fundtide.catalog.base import (
     AS_OF, EV, EV_TOP, LI, LI_ALLOC, LI_TREND, event_top_holdings, latest_sql, line_stock_allocation, line_trending,
-    pct, period_returns_sql, point_returns_sql, query, sql,
+    period_returns_sql, point_returns_sql, query, sql,
 )
 from fundtide.catalog.plans import LI_BOARD, PRIORITY, _PRIORITY_SQL, line_board
 from fundtide.operators import joins, portfolio, returns
@@ -36,7 +36,7 @@ JOIN (SELECT DISTINCT etf_ticker, holding_ticker FROM holdings WHERE as_of_date
 def returns_with_holdings(spark, sf_dir):
     m = line_market(spark, sf_dir)
     gains = returns.period_returns(m.stock_prices).select("ticker", "period_days", "return_pct")
-    return joins.returns_with_holdings(gains, tables.scan_recent_holdings(m.positions, m.as_of(), 365))
+    return joins.returns_with_holdings(gains, tables.scan_recent_holdings(m.positions, m.clock, 365))
 
 
 @query("join_latest_metadata", sql(_STOCK_RETURNS + f"newest AS ({latest_sql('stock_prices', 'ticker', 'trade_date')}),", """
@@ -72,7 +72,7 @@ def event_sector_trend(spark, sf_dir):
     sectors = m.fund_meta.filter(F.col("sector_name").isNotNull()).select(
         "ticker", F.col("sector_name").alias("sector")
     )
-    return portfolio.sector_trending(gains, sectors, m.benchmark, m.as_of())
+    return portfolio.sector_trending(gains, sectors, m.benchmark, m.clock)
 
 
 def event_stocks_in_sectors(spark, sf_dir):
@@ -104,7 +104,7 @@ SELECT *, {AS_OF} AS as_of_date, year({AS_OF}) AS year, month({AS_OF}) AS month,
     "f:vs_sector is_trending"))
 def stock_vs_sector(spark, sf_dir):
     return portfolio.stock_vs_sector(
-        event_stocks_in_sectors(spark, sf_dir), event_market(spark, sf_dir).as_of()
+        event_stocks_in_sectors(spark, sf_dir), event_market(spark, sf_dir).clock
     )
 
 
@@ -115,7 +115,7 @@ def stock_vs_sector(spark, sf_dir):
 def holdings_meta_metrics(spark, sf_dir):
     m = event_market(spark, sf_dir)
     pairs = latest_per_key(m.holdings, ["etf_ticker", "holding_ticker"], "as_of_date")
-    metrics = returns.stock_metrics(m.stock_prices, m.as_of())
+    metrics = returns.stock_metrics(m.stock_prices, m.clock)
     return joins.holdings_meta_metrics(pairs, m.fund_meta, metrics).select(
         "etf_ticker", "etf_type", "sector_name", "holding_ticker", "holding_percent", "period_days", "avg_return",
         "total_return", "volatility", "trading_days",
@@ -185,7 +185,7 @@ FROM snapshot LEFT JOIN caps ON caps.ticker = holding_ticker LEFT JOIN gains ON
     "etf_ticker holding_ticker holding_name f:market_cap trade_date f:holding_return_pct"))
 def holdings_left_mcap_returns(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    recent = since(m.stock_prices, m.as_of(), 1)
+    recent = since(m.stock_prices, m.clock, 1)
     caps = latest_per_key(
         recent.select("ticker", "company_name", "market_cap", "trade_date"), ["ticker"], "trade_date"
     )
@@ -220,7 +220,7 @@ coverage AS (
 def line_coverage(spark, sf_dir):
     m = line_market(spark, sf_dir)
     return joins.trending_coverage(
-        line_trending(spark, sf_dir, described=False), m.positions, m.stock_prices, m.as_of(), holding_days=40
+        line_trending(spark, sf_dir, described=False), m.positions, m.stock_prices, m.clock, holding_days=40
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fundtide.catalog.base import (
-    AS_OF, EV, EV_TOP, LI, LI_ALLOC, LI_TREND, event_top_holdings, line_monthly, line_stock_allocation,
+    AS_OF, EV, EV_TOP, LI, LI_ALLOC, LI_TREND, event_top_holdings, line_stock_allocation,
     line_trending, query, sql,
 )
 from fundtide.catalog.joins import TRENDING_COVERAGE, line_coverage
@@ -30,7 +30,7 @@ figures AS (
     _RULE_COLUMNS))
 def gate_price_ready(spark, sf_dir):
     m = line_market(spark, sf_dir, last_days=25)
-    return quality.gate_price_ready(m.fund_prices, m.benchmark, m.as_of())
+    return quality.gate_price_ready(m.fund_prices, m.benchmark, m.clock)
 
 
 @query("gate_allocation_ready", sql(
@@ -54,7 +54,7 @@ figures AS (
     ("holdings", "positions", ">=", "1")), _RULE_COLUMNS))
 def gate_history_ready(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    return quality.gate_history_ready(m.fund_meta, m.stock_prices, m.holdings, m.as_of())
+    return quality.gate_history_ready(m.fund_meta, m.stock_prices, m.holdings, m.clock)
 
 
 @query("verify_results", sql(EV_TOP, """
@@ -104,7 +104,7 @@ def verify_collection(spark, sf_dir):
     m = line_market(spark, sf_dir)
     newest = m.positions.agg(F.max("as_of_date").alias("d")).scalar()
     return quality.collected_counts(
-        line_trending(spark, sf_dir, described=False), m.positions, m.stock_prices, m.as_of(), newest
+        line_trending(spark, sf_dir, described=False), m.positions, m.stock_prices, m.clock, newest
     )
 
 

@@ -15,8 +15,8 @@ from fundtide.streaming import ingest
 BROKEN, NAMELESS = "error", "signup"
 
 
-def _tick_topic(spark, sf_dir, copies: int = 1) -> str:
-    """Every tick as a message; those of two event types arrive broken or nameless."""
+def _tick_topic(spark, sf_dir, deliveries: int = 1) -> str:
+    """Every tick as a message, in several files; those of two event types arrive broken or nameless."""
     ticks = event_ticks(spark, sf_dir)
     ticker = F.when(F.col("fund") != NAMELESS, F.col("ticker"))
     body = F.to_json(F.struct(
@@ -27,8 +27,7 @@ def _tick_topic(spark, sf_dir, copies: int = 1) -> str:
     value = F.when(F.col("fund") == BROKEN, F.concat(F.lit("{ticker:"), body)).otherwise(body)
     rows = ticks.select(F.col("ticker").alias("key"), value.alias("value"))
     topic = new_folder(spark, "ticks")
-    for _ in range(copies):
-        sinks.write_topic(rows, topic)
+    sinks.write_topic(rows.repartition(deliveries, "key") if deliveries > 1 else rows, topic)
     return topic
 
 
@@ -174,13 +173,9 @@ def stream_dedup(spark, sf_dir):
 SELECT count(*) AS processed, count(*) FILTER (fund IN ('error', 'signup')) AS error_count FROM ev""",
     "i:processed i:error_count"))
 def stream_progress(spark, sf_dir):
-    table, offsets = (new_folder(spark, n) for n in ("good", "offsets"))
-    topic = _tick_topic(spark, sf_dir)
-    checked = ingest.observed(tables.topic_stream(spark, topic), schemas.TICK_MESSAGE)
-    run = ingest.run_to_end(
-        ingest.good_rows(checked).writeStream.format("parquet").option("path", table), offsets
-    )
-    steps = spark.createDataFrame(
-        ingest.progress_rows(run), "batch_id bigint, processed bigint, error_count bigint"
+    table, progress, offsets = (new_folder(spark, n) for n in ("good", "progress", "offsets"))
+    topic = _tick_topic(spark, sf_dir, deliveries=3)
+    ingest.store_and_count(
+        tables.topic_stream(spark, topic, files_per_batch=1), schemas.TICK_MESSAGE, table, progress, offsets
     )
-    return steps.agg(F.sum("processed").alias("processed"), F.sum("error_count").alias("error_count"))
+    return ingest.progress_totals(spark.read.parquet(progress))

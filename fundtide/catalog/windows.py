@@ -12,7 +12,7 @@ from fundtide.catalog.joins import _SNAPSHOT
 from fundtide.catalog.plans import LI_BOARD, line_board
 from fundtide.operators import boards, joins, portfolio, ranking, returns, sets, windows
 from fundtide.plans import jobs
-from fundtide.sources.market import event_market, event_ticks, line_market, load
+from fundtide.sources.market import event_market, event_ticks, line_market
 
 
 def _numbered(source: str, k: int) -> str:
@@ -47,7 +47,7 @@ def top5_per_fund(spark, sf_dir):
     pairs = windows.latest_per_key(
         m.holdings.select("etf_ticker", "holding_ticker", "as_of_date"), ["etf_ticker", "holding_ticker"], "as_of_date"
     )
-    metrics = returns.stock_metrics(m.stock_prices, m.as_of(), (20,)).withColumnRenamed("ticker", "holding_ticker")
+    metrics = returns.stock_metrics(m.stock_prices, m.clock, (20,)).withColumnRenamed("ticker", "holding_ticker")
     return windows.top_k_per_group(
         pairs.join(metrics, "holding_ticker"), ["etf_ticker"],
         [F.col("total_return").desc_nulls_last(), F.col("holding_ticker")], 5, "rank_position",
@@ -90,7 +90,7 @@ SELECT ticker, trade_date, close_price, {pct('close_price', 'base')} AS cum_retu
   WHERE trade_date >= {AS_OF} - 20) f""", "ticker d:trade_date f:close_price f:cum_return"))
 def cumulative_return(spark, sf_dir):
     m = event_market(spark, sf_dir, last_days=20)
-    return windows.cumulative_return(windows.since(m.fund_prices, m.as_of(), 20)).select(
+    return windows.cumulative_return(windows.since(m.fund_prices, m.clock, 20)).select(
         "ticker", "trade_date", "close_price", "cum_return"
     )
 
@@ -118,8 +118,8 @@ daily AS (
     "d:trade_date f:log_growth"))
 def equal_weight_curve(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    names = boards.top_performers(m.stock_prices, m.as_of(), 30, 10)
-    curve = windows.equal_weight_curve(windows.since(m.stock_prices, m.as_of(), 60), names)
+    names = boards.top_performers(m.stock_prices, m.clock, 30, 10)
+    curve = windows.equal_weight_curve(windows.since(m.stock_prices, m.clock, 60), names)
     # The test values grow by many orders of magnitude, so the curve is compared as a logarithm.
     return curve.select("trade_date", F.log1p(F.col("cum_return") / 100.0).alias("log_growth"))
 
@@ -143,12 +143,12 @@ FROM curve c FULL OUTER JOIN reference r ON r.trade_date = c.trade_date""",
     "d:trade_date f:portfolio_return f:benchmark_return"))
 def weighted_portfolio_curve(spark, sf_dir):
     m = event_market(spark, sf_dir, last_days=20)
-    names = boards.top_performers(m.stock_prices, m.as_of(), 20, 20).select(
+    names = boards.top_performers(m.stock_prices, m.clock, 20, 20).select(
         "ticker", F.col("return_pct").alias("weight")
     )
     benchmark = m.fund_prices.filter(F.col("ticker") == m.benchmark)
     return windows.weighted_portfolio_curve(
-        windows.since(m.stock_prices, m.as_of(), 20), names, windows.since(benchmark, m.as_of(), 20)
+        windows.since(m.stock_prices, m.clock, 20), names, windows.since(benchmark, m.clock, 20)
     )
 
 
@@ -180,7 +180,7 @@ held AS (SELECT s.*, market_cap FROM snapshot s LEFT JOIN caps c ON c.ticker = s
 def _snapshot_with_caps(spark, sf_dir):
     m = line_market(spark, sf_dir)
     caps = windows.latest_per_key(
-        windows.since(m.stock_prices, m.as_of(), 30).select("ticker", "trade_date", "market_cap"),
+        windows.since(m.stock_prices, m.clock, 30).select("ticker", "trade_date", "market_cap"),
         ["ticker"], "trade_date",
     ).select(F.col("ticker").alias("holding_ticker"), "market_cap")
     return joins.latest_snapshot(m.holdings).join(caps, "holding_ticker", "left")
@@ -231,7 +231,7 @@ _PERFORMER_COLUMNS = "ticker company_name sector f:start_price f:latest_price f:
 @query("top_performers", sql(EV, _top_performers_sql(5, 10), _PERFORMER_COLUMNS))
 def top_performers(spark, sf_dir):
     m = event_market(spark, sf_dir, last_days=5)
-    return boards.top_performers(m.stock_prices, m.as_of(), 5, 10)
+    return boards.top_performers(m.stock_prices, m.clock, 5, 10)
 
 
 @query("top_performers_by_sector", sql(EV, f"""
@@ -242,7 +242,7 @@ FROM ({point_returns_sql(f'(SELECT * FROM stock_prices WHERE trade_date >= {AS_O
 QUALIFY rank <= 2""", _PERFORMER_COLUMNS + " i:rank"))
 def top_performers_by_sector(spark, sf_dir):
     m = event_market(spark, sf_dir, last_days=5)
-    return boards.top_performers_by_sector(m.stock_prices, m.as_of())
+    return boards.top_performers_by_sector(m.stock_prices, m.clock)
 
 
 def _periods_of(source: str) -> str:
@@ -265,7 +265,7 @@ def _leaderboard(spark, sf_dir):
     sectors = m.fund_meta.filter(F.col("sector_name").isNotNull()).select(
         "ticker", F.col("sector_name").alias("sector")
     )
-    return boards.sector_leaderboard(m.fund_prices, sectors, m.as_of())
+    return boards.sector_leaderboard(m.fund_prices, sectors, m.clock)
 
 
 @query("sector_leaderboard", sql(
@@ -283,7 +283,7 @@ QUALIFY row_number() OVER (PARTITION BY s.period_days, s.sector ORDER BY s.retur
     "i:period_days sector f:sector_return i:rank ticker company_name f:return_pct"))
 def leading_sector_stocks(spark, sf_dir):
     m = event_market(spark, sf_dir, last_days=20)
-    return boards.leading_sector_stocks(_leaderboard(spark, sf_dir), m.stock_prices, m.as_of())
+    return boards.leading_sector_stocks(_leaderboard(spark, sf_dir), m.stock_prices, m.clock)
 
 
 @query("multi_key_order", sql(
@@ -318,7 +318,7 @@ SELECT *, current_return - prev_return AS change FROM (
     "ticker f:prev_return f:current_return f:change"))
 def period_over_period(spark, sf_dir):
     m = line_market(spark, sf_dir, last_days=40)
-    return returns.period_over_period(m.fund_prices, m.as_of(), 20)
+    return returns.period_over_period(m.fund_prices, m.clock, 20)
 
 
 # ---- set operations --------------------------------------------------------------

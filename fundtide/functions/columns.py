@@ -10,13 +10,6 @@ from pyspark.sql import functions as F
 from fundtide import settings
 
 
-def as_column(value) -> Column:
-    """Accept a column, a date, or an ISO date text."""
-    if isinstance(value, Column):
-        return value
-    return F.lit(value).cast("date")
-
-
 def pct_change(new: Column, old: Column) -> Column:
     """Percent change; NULL where the base is zero or missing."""
     return F.try_divide(new - old, old) * F.lit(100.0)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtide import settings
-from fundtide.functions.columns import as_column, is_trending
+from fundtide.functions.columns import is_trending
+from fundtide.functions.dates import day, month
 from fundtide.operators.ranking import global_rank
 from fundtide.operators.returns import calendar_periods, point_return
 from fundtide.operators.windows import latest_per_key, since, top_k_per_group
@@ -75,14 +76,10 @@ def _market_rows(stocks: DataFrame) -> DataFrame:
     )
 
 
-def month_start(as_of) -> Column:
-    return F.trunc(as_column(as_of), "month")
-
-
 def mtd_top_equal_weight(stocks: DataFrame, as_of, k: int = 10) -> DataFrame:
     """Top tickers by average daily change this month; over the whole history when the month is empty."""
     rows = _market_rows(stocks)
-    start = month_start(as_of)
+    start = month(as_of)
     # The first day to read is one value: the month's start, or the beginning when the month has no row.
     first_day = (
         rows.filter(F.col("trade_date") >= start)
@@ -103,10 +100,10 @@ def sector_leaders(stocks: DataFrame, as_of, k: int = 10, month_to_date: bool =
     Sectors with a positive average, best ``k`` first; the best ``k`` of all when
     none is positive.
     """
-    end = as_column(as_of)
+    end = day(as_of)
     rows = _market_rows(stocks)
     if month_to_date:
-        rows = rows.filter(F.col("trade_date") >= month_start(end))
+        rows = rows.filter(F.col("trade_date") >= month(as_of))
     # The rows are read once; sector averages come from the per-ticker sums.
     tickers = materialized(
         rows.groupBy("ticker", "company_name", "sector").agg(

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions import columns as C
-from fundtide.operators.windows import top_k_per_group
+from fundtide.functions.dates import day
+from fundtide.operators.windows import since, top_k_per_group
 
 
 def trailing_days(bars: DataFrame, as_of, days: int, ticker: str | None = None, date: str = "trade_date") -> DataFrame:
     """Rows of the last ``days`` calendar days, optionally of one ticker."""
-    end = C.as_column(as_of)
-    kept = bars.filter((F.col(date) >= F.date_sub(end, days)) & (F.col(date) <= end))
+    kept = since(bars, as_of, days, date)
     return kept.filter(F.col("ticker") == ticker.upper()) if ticker else kept
 
 
@@ -27,9 +27,9 @@ def price_history(
     if symbol is not None:
         rows = rows.filter(F.col("ticker") == symbol.upper())
     if start is not None:
-        rows = rows.filter(F.col("trade_date") >= C.as_column(start))
+        rows = rows.filter(F.col("trade_date") >= day(start))
     if end is not None:
-        rows = rows.filter(F.col("trade_date") <= C.as_column(end))
+        rows = rows.filter(F.col("trade_date") <= day(end))
     if limit is not None:
         rows = top_k_per_group(rows, ["ticker"], [F.col("trade_date").desc()], limit, "_n").drop("_n")
     return rows.select(

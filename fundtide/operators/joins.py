@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions.columns import benchmark_order
+from fundtide.functions.dates import day
 from fundtide.operators.returns import point_return
 from fundtide.operators.windows import latest_per_key, top_k_per_group
 
@@ -141,9 +142,9 @@ def trending_coverage(
     """One row: trending funds, distinct stocks they hold, and how many of those have bars."""
     funds = trending.filter("is_trending").select("etf_ticker").distinct()
     held = holdings.join(funds, "etf_ticker", "left_semi")
-    recent = held.filter(F.col("as_of_date") >= F.date_sub(as_of, holding_days))
+    recent = held.filter(F.col("as_of_date") >= day(as_of, holding_days))
     all_held = held.select(F.col("holding_ticker").alias("ticker")).distinct()
-    priced = stocks.filter(F.col("trade_date") >= F.date_sub(as_of, stock_days)).join(
+    priced = stocks.filter(F.col("trade_date") >= day(as_of, stock_days)).join(
         all_held, "ticker", "left_semi"
     )
     return funds.agg(F.count("*").alias("trending_count")).select(

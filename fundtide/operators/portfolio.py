@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions.columns import is_trending
+from fundtide.functions.dates import day
 from fundtide.operators.joins import returns_with_holdings
 from fundtide.operators.ranking import global_rank
 from fundtide.operators.windows import top_k_per_group
@@ -48,28 +47,30 @@ def flag_trending(returns: DataFrame, benchmark: str, on_missing: str = "error")
 
 
 def sector_trending(
-    fund_returns: DataFrame, fund_sectors: DataFrame, benchmark: str, as_of: Column, on_missing: str = "zero"
+    fund_returns: DataFrame, fund_sectors: DataFrame, benchmark: str, as_of, on_missing: str = "zero"
 ) -> DataFrame:
     """Sector funds against the benchmark, with the month the record belongs to.
 
     ``fund_sectors`` is (ticker, sector).
     """
+    end = day(as_of)
     return (
         flag_trending(fund_returns, benchmark, on_missing)
         .join(fund_sectors, "ticker")
         .select(
-            as_of.alias("as_of_date"),
-            F.year(as_of).alias("year"), F.month(as_of).alias("month"),
+            end.alias("as_of_date"),
+            F.year(end).alias("year"), F.month(end).alias("month"),
             "sector", "return_pct", "benchmark_return", "period_days", "is_trending",
         )
     )
 
 
-def stock_vs_sector(stocks_with_sector_avg: DataFrame, as_of: Column) -> DataFrame:
+def stock_vs_sector(stocks_with_sector_avg: DataFrame, as_of) -> DataFrame:
     """Stocks of trending sectors against their sector's return."""
+    end = day(as_of)
     return stocks_with_sector_avg.select(
-        as_of.alias("as_of_date"),
-        F.year(as_of).alias("year"), F.month(as_of).alias("month"),
+        end.alias("as_of_date"),
+        F.year(end).alias("year"), F.month(end).alias("month"),
         "ticker", "company_name", "sector", "market_cap", "return_pct", "sector_avg", "period_days",
         (F.col("return_pct") - F.col("sector_avg")).alias("vs_sector"),
         (F.col("return_pct") > F.col("sector_avg")).alias("is_trending"),
@@ -116,7 +117,7 @@ def allocate(
     stock_returns: DataFrame,
     holdings: DataFrame,
     trending: DataFrame,
-    as_of: Column,
+    as_of,
     min_score: float | None = None,
     ranked: bool = True,
 ) -> DataFrame:
@@ -129,7 +130,7 @@ def allocate(
     known = stock_returns.filter(F.col("market_cap") > 0)
     candidates = returns_with_holdings(known, holdings.join(trending, "etf_ticker", "left_semi"))
     picks = best_per_fund(candidates).withColumns({
-        "as_of_date": as_of,
+        "as_of_date": day(as_of),
         "allocation_score": F.col("return_pct") * (F.lit(1.0) / F.col("market_cap")),
         "allocation_reason": F.format_string(settings.ALLOCATION_REASON, F.col("period_days")),
     })
@@ -209,11 +210,11 @@ def assign_final_ranks(
     rows are cut per class first, and no date is ever sorted as a whole.
     """
     best_first = [F.col("score").desc(), F.col("return_20").desc(), F.col("ticker")]
-    day = ["as_of_date"]
-    existing = top_k_per_group(scored.filter(~F.col("is_new")), day, best_first, size, "own_rank")
-    new = top_k_per_group(scored.filter("is_new"), day, best_first, size + first_new - 1, "own_rank")
+    date = ["as_of_date"]
+    existing = top_k_per_group(scored.filter(~F.col("is_new")), date, best_first, size, "own_rank")
+    new = top_k_per_group(scored.filter("is_new"), date, best_first, size + first_new - 1, "own_rank")
 
-    per_day = Window.partitionBy(*day)
+    per_day = Window.partitionBy(*date)
     merged = existing.unionByName(new).withColumn(
         "overall_rank", F.row_number().over(per_day.orderBy(*best_first))
     ).withColumn(
@@ -221,7 +222,7 @@ def assign_final_ranks(
         F.when(F.col("is_new"), F.col("own_rank") + F.lit(first_new - 1)).otherwise(F.col("overall_rank")),
     )
     final = top_k_per_group(
-        merged, day, [F.col("adjusted_rank"), F.col("is_new"), F.col("ticker")], size, "final_rank"
+        merged, date, [F.col("adjusted_rank"), F.col("is_new"), F.col("ticker")], size, "final_rank"
     )
     return final.withColumn("final_weight", F.try_divide(F.col("score"), F.sum("score").over(per_day))).drop(
         "own_rank", "overall_rank", "adjusted_rank"

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundtide import settings
+from fundtide.functions.dates import day
 
 
 def rule(name: str, observed: Column, required: Column | float, passed: Column) -> Column:
@@ -34,11 +35,11 @@ def _rules(figures: DataFrame, *rules: Column) -> DataFrame:
 
 
 def gate_price_ready(
-    fund_prices: DataFrame, benchmark: str, as_of: Column, min_funds: int = 15, min_rows: int = 15
+    fund_prices: DataFrame, benchmark: str, as_of, min_funds: int = 15, min_rows: int = 15
 ) -> DataFrame:
     """Enough funds with a bar in the last 2 days, enough benchmark bars in the last 25."""
-    recent = F.col("trade_date") >= F.date_sub(as_of, 2)
-    figures = fund_prices.filter(F.col("trade_date") >= F.date_sub(as_of, 25)).agg(
+    recent = F.col("trade_date") >= day(as_of, 2)
+    figures = fund_prices.filter(F.col("trade_date") >= day(as_of, 25)).agg(
         F.countDistinct(F.when(recent, F.col("ticker"))).alias("funds"),
         F.count_if(F.col("ticker") == benchmark).alias("benchmark_rows"),
     )
@@ -61,10 +62,10 @@ def gate_allocation_ready(coverage: DataFrame) -> DataFrame:
 
 
 def gate_history_ready(
-    meta: DataFrame, stocks: DataFrame, holdings: DataFrame, as_of: Column, days: int = 40, min_days: int = 20
+    meta: DataFrame, stocks: DataFrame, holdings: DataFrame, as_of, days: int = 40, min_days: int = 20
 ) -> DataFrame:
     """Funds, holdings and at least ``min_days`` trading days of recent stock history exist."""
-    recent = stocks.filter(F.col("trade_date") >= F.date_sub(as_of, days))
+    recent = stocks.filter(F.col("trade_date") >= day(as_of, days))
     figures = recent.agg(
         F.countDistinct("ticker").alias("tickers"), F.countDistinct("trade_date").alias("days")
     ).select(
@@ -105,11 +106,11 @@ def missing_periods(top_holdings: DataFrame, expected: Sequence[int] = settings.
 
 
 def collected_counts(
-    trending: DataFrame, holdings: DataFrame, stocks: DataFrame, as_of: Column, holdings_date: Column
+    trending: DataFrame, holdings: DataFrame, stocks: DataFrame, as_of, holdings_date: Column
 ) -> DataFrame:
     """Funds and stocks collected on the newest snapshot against the number of trending funds."""
     snapshot = holdings.filter(F.col("as_of_date") == holdings_date)
-    recent = stocks.filter(F.col("trade_date") >= F.date_sub(as_of, 1))
+    recent = stocks.filter(F.col("trade_date") >= day(as_of, 1))
     return snapshot.agg(
         F.countDistinct("etf_ticker").alias("etf_count"),
         F.countDistinct("holding_ticker").alias("holding_count"),

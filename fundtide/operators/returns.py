@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtide import settings
-from fundtide.functions.columns import as_column, pct_change
+from fundtide.functions.columns import pct_change
+from fundtide.functions.dates import day
 from fundtide.operators.filters import min_coverage
+from fundtide.operators.windows import since
 
 
 def _periods_where(periods: Sequence[int], holds) -> Column:
@@ -119,11 +121,8 @@ def calendar_periods(
     bars: DataFrame, as_of, periods: Sequence[int], slack_days: int = 0, date: str = "trade_date"
 ) -> DataFrame:
     """Each row once per calendar window ``[as_of - N - slack, as_of]`` it falls into."""
-    end = as_column(as_of)
-    age = F.date_diff(end, F.col(date))
-    inside = bars.filter(
-        (F.col(date) >= F.date_sub(end, max(periods) + slack_days)) & (F.col(date) <= end)
-    )
+    age = F.date_diff(day(as_of), F.col(date))
+    inside = since(bars, as_of, max(periods) + slack_days, date)
     return inside.withColumn("period_days", _periods_where(periods, lambda p: age <= p + slack_days))
 
 
@@ -184,15 +183,14 @@ def period_over_period(bars: DataFrame, as_of, days: int = 20) -> DataFrame:
 
     A window with fewer than two bars counts as a return of 0.
     """
-    end = as_column(as_of)
-    age = F.date_diff(end, F.col("trade_date"))
-    recent = bars.filter((F.col("trade_date") > F.date_sub(end, 2 * days)) & (F.col("trade_date") <= end))
+    age = F.date_diff(day(as_of), F.col("trade_date"))
+    recent = since(bars, as_of, 2 * days - 1)
     in_current = recent.withColumn("is_current", age < days)
 
     def window_return(mine: Column) -> Column:
         price = F.when(mine, F.col("close_price"))
-        day = F.when(mine, F.col("trade_date"))
-        change = pct_change(F.max_by(price, day), F.min_by(price, day))
+        date = F.when(mine, F.col("trade_date"))
+        change = pct_change(F.max_by(price, date), F.min_by(price, date))
         return F.when(F.count(price) >= 2, F.coalesce(change, F.lit(0.0))).otherwise(F.lit(0.0))
 
     current = F.col("is_current")

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundtide.functions.columns import as_column, pct_change
+from fundtide.functions.columns import pct_change
+from fundtide.functions.dates import day, month
 from fundtide.sources.workspace import materialized
 
 
@@ -66,13 +67,12 @@ def latest_per_key(
 
 def month_first_last_value(bars: DataFrame, key: str = "ticker", date: str = "trade_date") -> DataFrame:
     """First and last close of every ticker-month through full-frame window functions."""
-    month = F.trunc(date, "month")
     whole = (
         Window.partitionBy(key, "month").orderBy(date)
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
     return (
-        bars.withColumn("month", month)
+        bars.withColumn("month", F.trunc(date, "month"))
         .select(
             key, "month",
             F.first("close_price").over(whole).alias("month_open"),
@@ -166,6 +166,11 @@ def weighted_portfolio_curve(bars: DataFrame, weights: DataFrame, benchmark: Dat
 
 
 def since(bars: DataFrame, as_of, days: int, date: str = "trade_date") -> DataFrame:
-    """Rows of the ``days`` calendar days up to and including ``as_of``."""
-    end = as_column(as_of)
-    return bars.filter((F.col(date) >= F.date_sub(end, days)) & (F.col(date) <= end))
+    """Rows of the ``days`` calendar days up to and including ``as_of``.
+
+    A table partitioned by ``trade_month`` is also pruned by it.
+    """
+    kept = bars.filter((F.col(date) >= day(as_of, days)) & (F.col(date) <= day(as_of)))
+    if "trade_month" in bars.columns:
+        kept = kept.filter(F.col("trade_month") >= month(as_of, days))
+    return kept

@@ -10,17 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions import columns as C
+from fundtide.functions.dates import day
 from fundtide.operators import boards, filters, joins, portfolio, ranking, returns
 from fundtide.operators.windows import latest_per_key, since, top_k_per_group
 from fundtide.sources.workspace import materialized
 
 
-def _recent(bars: DataFrame, as_of: Column, period: int, slack_days: int | None) -> DataFrame:
+def _recent(bars: DataFrame, as_of, period: int, slack_days: int | None) -> DataFrame:
     return bars if slack_days is None else since(bars, as_of, period + slack_days)
 
 
@@ -40,8 +41,8 @@ def trending_funds(
     ``slack_days`` widens the calendar pre-filter of a period; None reads all
     history, for series with long gaps.  Without ``meta`` type and sector are left out.
     """
-    end = C.as_column(as_of)
-    bars = _recent(fund_prices, end, max(periods), slack_days)
+    end = day(as_of)
+    bars = _recent(fund_prices, as_of, max(periods), slack_days)
     # A few rows per fund, needed for the funds and for the benchmark: written once, history is read once.
     gains = materialized(returns.period_returns(bars, periods, kind), "fund-returns")
     flagged = portfolio.flag_trending(gains, benchmark, on_missing)
@@ -75,11 +76,10 @@ def portfolio_allocation(
     ``trending`` is (etf_ticker, is_trending).  One row per fund and period; use
     ``roll_up_by_stock`` for the stored per-stock form.
     """
-    end = C.as_column(as_of)
-    recent = _recent(stocks, end, max(periods), slack_days)
+    recent = _recent(stocks, as_of, max(periods), slack_days)
     usable = filters.valid_instruments(filters.known_sector(recent), "ticker", "company_name")
     pairs = filters.valid_instruments(
-        holdings.filter(F.col("as_of_date") >= F.date_sub(end, holding_days))
+        holdings.filter(F.col("as_of_date") >= day(as_of, holding_days))
         .select("etf_ticker", "holding_ticker").distinct(),
         "holding_ticker",
     )
@@ -89,7 +89,7 @@ def portfolio_allocation(
         gains.select("ticker", "period_days", "return_pct", *attributes),
         pairs,
         trending.filter("is_trending").select("etf_ticker"),
-        end,
+        as_of,
         ranked=ranked,
     )
 
@@ -104,13 +104,13 @@ def fund_top_holdings(
     etf_type: str | None = None,
 ) -> DataFrame:
     """Best ``k`` holdings of every fund by total return, for every period."""
-    end = C.as_column(as_of)
+    end = day(as_of)
     funds = meta if etf_type is None else meta.filter(F.col("etf_type") == etf_type)
     pairs = latest_per_key(
         holdings.select("etf_ticker", "holding_ticker", "holding_name", "holding_percent", "as_of_date"),
         ["etf_ticker", "holding_ticker"], "as_of_date",
     )
-    combined = joins.holdings_meta_metrics(pairs, funds, returns.stock_metrics(stocks, end, periods))
+    combined = joins.holdings_meta_metrics(pairs, funds, returns.stock_metrics(stocks, as_of, periods))
     best = top_k_per_group(
         combined, ["etf_ticker", "period_days"],
         [F.col("total_return").desc_nulls_last(), F.col("holding_ticker")], k, "rank_position",
@@ -136,8 +136,8 @@ def monthly_rebalance(
     Empty when any period has no portfolio on that date.  ``allocations`` is per
     stock, as ``roll_up_by_stock`` gives it.
     """
-    day = allocations.agg(F.max("as_of_date").alias("d")).scalar() if as_of is None else C.as_column(as_of)
-    slices = allocations.filter((F.col("as_of_date") == day) & F.col("period_days").isin(*periods))
+    date = allocations.agg(F.max("as_of_date").alias("d")).scalar() if as_of is None else day(as_of)
+    slices = allocations.filter((F.col("as_of_date") == date) & F.col("period_days").isin(*periods))
     complete = slices.agg((F.countDistinct("period_days") == len(periods)).alias("c")).scalar()
     chosen = slices.filter(complete)
     if only_last_sunday:
@@ -162,10 +162,9 @@ def trending_top_holdings_board(
     benchmark_funds: Sequence[str] = settings.BENCHMARK_FUNDS,
 ) -> DataFrame:
     """Largest holdings of every benchmark and trending fund, with fund and stock returns."""
-    end = C.as_column(as_of)
     fund_gain = materialized(
         returns.point_return(
-            since(fund_prices, end, days).select("ticker", "trade_date", "close_price")
+            since(fund_prices, as_of, days).select("ticker", "trade_date", "close_price")
         ).select("ticker", "return_pct"),
         "fund-returns",
     )
@@ -182,7 +181,7 @@ def trending_top_holdings_board(
     held = joins.latest_snapshot(
         holdings.select("etf_ticker", "holding_ticker", "holding_name", "as_of_date")
     ).join(targets, "etf_ticker")
-    known = returns.latest_and_return(since(stocks, end, days))
+    known = returns.latest_and_return(since(stocks, as_of, days))
     board = joins.holdings_left_stocks(held, known)
     return ranking.market_cap_rank(board, k).select(
         "etf_ticker", "etf_return_pct", "is_benchmark", "is_trending", "holding_ticker", "holding_name",
@@ -223,8 +222,8 @@ def nested_board(board: DataFrame) -> DataFrame:
 # ---- read models ------------------------------------------------------------
 
 def _newest(df: DataFrame, date: str, as_of=None) -> DataFrame:
-    day = df.agg(F.max(date).alias("d")).scalar() if as_of is None else C.as_column(as_of)
-    return df.filter(F.col(date) == day)
+    newest = df.agg(F.max(date).alias("d")).scalar() if as_of is None else day(as_of)
+    return df.filter(F.col(date) == newest)
 
 
 def latest_date_rows(df: DataFrame, date: str, group: Sequence[str] = ()) -> DataFrame:
@@ -276,7 +275,7 @@ def collection_worklist(
     trending: DataFrame, holdings: DataFrame, stocks: DataFrame, as_of, k: int = settings.TOP_HOLDINGS
 ) -> DataFrame:
     """Stocks still to collect: top holdings of the trending funds without a bar on the day."""
-    end = C.as_column(as_of)
+    end = day(as_of)
     snapshot = joins.latest_snapshot(filters.in_set(holdings, trending.filter("is_trending"), "etf_ticker"))
     top = top_k_per_group(
         snapshot, ["etf_ticker"],

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fundtide.functions.columns import lookup, minor_units, rounded
+from fundtide.functions.dates import Clock, day
 from fundtide.operators.windows import daily_change
 
 # The sector each sector fund of the event market stands for.
@@ -46,13 +47,13 @@ class Market:
         holdings: Callable[[DataFrame], DataFrame],
         benchmark: str,
         benchmark_funds: tuple[str, ...],
-        clock: Callable[[int], Column],
+        clock: Clock,
     ):
         self._build = dict(
             fund_meta=fund_meta, fund_prices=fund_prices, stock_prices=stock_prices, positions=positions
         )
         self._describe = holdings
-        self._clock = clock
+        self.clock = clock
         self.benchmark = benchmark
         self.benchmark_funds = benchmark_funds
 
@@ -78,8 +79,8 @@ class Market:
         return self._describe(self.positions)
 
     def as_of(self, days_back: int = 0) -> Column:
-        """Newest trade date minus ``days_back``, as a scalar subquery over one raw column."""
-        return self._clock(days_back)
+        """Newest trade date minus ``days_back``."""
+        return day(self.clock, days_back)
 
 
 @cache
@@ -93,21 +94,15 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(_schema_of(spark, path)).parquet(path)
 
 
-def _clock(raw: DataFrame, ts: str) -> Callable[[int], Column]:
-    def at(days_back: int) -> Column:
-        return raw.agg(F.date_sub(F.max(F.to_date(ts)), days_back).alias("as_of")).scalar()
-
-    return at
-
-
-def _since(raw: DataFrame, ts: str, last_days: int | None) -> DataFrame:
-    """Keep raw rows of the last days.  The bound is a bare scalar, so it reaches the scan."""
+def _since(raw: DataFrame, ts: str, clock: Clock, last_days: int | None) -> DataFrame:
+    """Keep raw rows of the last days, dropped in the scan stage before any grouping."""
     if last_days is None:
         return raw
-    bound = raw.agg(
-        F.date_sub(F.max(F.to_date(ts)), last_days).cast("timestamp_ntz").alias("since")
-    ).scalar()
-    return raw.filter(F.col(ts) >= bound)
+    return raw.filter(F.col(ts) >= day(clock, last_days).cast("timestamp_ntz"))
+
+
+def _clock_of(spark: SparkSession, sf_dir: str, table: str, ts: str) -> Clock:
+    return Clock(load(spark, sf_dir, table), F.to_date(ts))
 
 
 def _with_share(positions: DataFrame, totals: DataFrame) -> DataFrame:
@@ -121,9 +116,12 @@ def _with_share(positions: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def event_ticks(spark: SparkSession, sf_dir: str, last_days: int | None = None) -> DataFrame:
+def event_ticks(
+    spark: SparkSession, sf_dir: str, last_days: int | None = None, clock: Clock | None = None
+) -> DataFrame:
     """``events`` as ticks: one row per trade of one unit."""
-    raw = _since(load(spark, sf_dir, "events"), "ts", last_days)
+    clock = clock or _clock_of(spark, sf_dir, "events", "ts")
+    raw = _since(load(spark, sf_dir, "events"), "ts", clock, last_days)
     return raw.select(
         F.col("event_id").alias("seq"),
         "user_id",
@@ -145,10 +143,11 @@ def event_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
     no predecessor, so queries that use daily changes leave it unset.
     """
     events = load(spark, sf_dir, "events")
+    clock = _clock_of(spark, sf_dir, "events", "ts")
 
     @cache
     def ticks() -> DataFrame:
-        return event_ticks(spark, sf_dir, last_days)
+        return event_ticks(spark, sf_dir, last_days, clock)
 
     def stock_prices() -> DataFrame:
         bars = ticks().groupBy("user_id", "trade_date").agg(
@@ -203,18 +202,19 @@ def event_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
 
     return Market(
         fund_meta, fund_prices, stock_prices, positions, holdings,
-        benchmark="view", benchmark_funds=("view",), clock=_clock(events, "ts"),
+        benchmark="view", benchmark_funds=("view",), clock=clock,
     )
 
 
 def line_market(spark: SparkSession, sf_dir: str, last_days: int | None = None) -> Market:
     """Wide and sparse: suppliers are funds, parts are stocks, supplier 0 is the benchmark."""
     raw = load(spark, sf_dir, "lineitem")
+    clock = _clock_of(spark, sf_dir, "lineitem", "l_shipdate")
 
     @cache
     def lines() -> DataFrame:
         price = F.col("l_extendedprice") / F.col("l_quantity")
-        return _since(raw, "l_shipdate", last_days).select(
+        return _since(raw, "l_shipdate", clock, last_days).select(
             "l_suppkey", "l_partkey",
             F.to_date("l_shipdate").alias("trade_date"),
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
@@ -298,5 +298,5 @@ def line_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
 
     return Market(
         fund_meta, fund_prices, stock_prices, positions, holdings,
-        benchmark="0", benchmark_funds=("0", "1", "2", "3", "4", "5"), clock=_clock(raw, "l_shipdate"),
+        benchmark="0", benchmark_funds=("0", "1", "2", "3", "4", "5"), clock=clock,
     )

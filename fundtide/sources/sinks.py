@@ -2,7 +2,7 @@
 
 Tables are Parquet folders partitioned by a date-like column.  A rewrite touches
 only the partitions of the incoming rows (dynamic partition overwrite).  What is
-read from the table being rewritten is checkpointed to the shared folder first,
+read from the table being rewritten is merged into the shared folder first,
 so no task ever reads a file the same job replaces.
 """
 
@@ -58,13 +58,14 @@ def upsert_rows(
 ) -> None:
     """Insert or update ``incoming`` by key.  ``partition`` must be a function of the keys."""
     spark = incoming.sparkSession
-    # The schema is passed on so that the partition column keeps its type.
-    existing = read_or_none(spark, path)
+    # With the schema given, the partition column keeps its type.
+    existing = read_or_none(spark, path, incoming.schema)
     if existing is None:
         existing = incoming.limit(0)
     else:
-        existing = existing.withColumn(partition, F.col(partition).cast(incoming.schema[partition].dataType))
         touched = incoming.select(partition).distinct()
         existing = existing.join(touched, partition, "left_semi")
-    merged = materialized(upsert_by_key(existing.select(*incoming.columns), incoming, keys, order))
+    merged = materialized(
+        upsert_by_key(existing.select(*incoming.columns), incoming, keys, order), "merged"
+    )
     replace_slices(merged, path, [partition])

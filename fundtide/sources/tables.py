@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundtide.functions.columns import as_column
+from fundtide.functions.dates import day
 from fundtide.schemas import TOPIC
 
 
@@ -33,7 +33,7 @@ def scan_prices(
     """Price bars from a date on, with only the columns asked for."""
     rows = prices
     if since is not None:
-        rows = rows.filter(F.col("trade_date") >= as_column(since))
+        rows = rows.filter(F.col("trade_date") >= day(since))
     if universe is not None:
         rows = rows.filter(F.col("ticker").isin(*universe))
     return rows if columns is None else rows.select(*columns)
@@ -47,20 +47,20 @@ def scan_fund_meta(meta: DataFrame, etf_type: str | None = None) -> DataFrame:
 
 def scan_recent_holdings(holdings: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Distinct (fund, stock) pairs of the last days."""
-    recent = holdings.filter(F.col("as_of_date") >= F.date_sub(as_column(as_of), days))
+    recent = holdings.filter(F.col("as_of_date") >= day(as_of, days))
     return recent.select("etf_ticker", "holding_ticker").distinct()
 
 
 def scan_allocations(allocations: DataFrame, as_of, periods: Sequence[int]) -> DataFrame:
     """The portfolios of several periods at one date, in one read."""
     return allocations.filter(
-        (F.col("as_of_date") == as_column(as_of)) & F.col("period_days").isin(*periods)
+        (F.col("as_of_date") == day(as_of)) & F.col("period_days").isin(*periods)
     )
 
 
 def scan_trending(trending: DataFrame, as_of, meta: DataFrame | None = None) -> DataFrame:
     """Trending funds of a date, best first, with their metadata when given."""
-    rows = trending.filter((F.col("as_of_date") == as_column(as_of)) & F.col("is_trending"))
+    rows = trending.filter((F.col("as_of_date") == day(as_of)) & F.col("is_trending"))
     rows = rows.select("etf_ticker", "period_days", "return_pct")
     if meta is not None:
         rows = rows.join(meta.withColumnRenamed("ticker", "etf_ticker"), "etf_ticker", "left")

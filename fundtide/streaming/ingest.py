@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -173,20 +173,33 @@ def dedup_to_table(
     return run_to_end(unique.writeStream.format("parquet").option("path", table), checkpoint)
 
 
-def observed(messages: DataFrame, schema: T.StructType, required: Sequence[str] = ("ticker",)) -> DataFrame:
-    """Checked messages that count themselves: metric ``ingest`` with processed and error_count."""
-    return checked(messages, schema, required).observe(
-        "ingest",
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col("error_msg").isNotNull()).alias("error_count"),
-    )
+def store_and_count(
+    messages: DataFrame, schema: T.StructType, table: str, progress_table: str, checkpoint: str,
+    required: Sequence[str] = ("ticker",),
+) -> StreamingQuery:
+    """Good rows into a table, and per batch the messages processed and rejected.
+
+    The counts are observed while the batch is written, so they cost no second
+    pass, and they are kept in a table, one slice per batch: a replayed batch
+    replaces its own count.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counts = Observation("ingest")
+        rows = checked(batch, schema, required).observe(
+            counts,
+            F.count(F.lit(1)).alias("processed"),
+            F.count_if(F.col("error_msg").isNotNull()).alias("error_count"),
+        )
+        sinks.replace_slices(good_rows(rows).withColumn("batch_id", F.lit(batch_id)), table, ["batch_id"])
+        seen = counts.get
+        line = batch.sparkSession.createDataFrame(
+            [(batch_id, seen["processed"], seen["error_count"])],
+            "batch_id bigint, processed bigint, error_count bigint",
+        )
+        sinks.replace_slices(line, progress_table, ["batch_id"])
+
+    return run_to_end(messages.writeStream, checkpoint, store)
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple[int, int, int]]:
-    """(batch_id, processed, error_count) of every recent batch that saw data."""
-    rows = []
-    for step in query.recentProgress:
-        metrics = step.observedMetrics.get("ingest")
-        if metrics is not None and step.numInputRows > 0:
-            rows.append((step.batchId, metrics["processed"], metrics["error_count"]))
-    return rows
+def progress_totals(progress: DataFrame) -> DataFrame:
+    return progress.agg(F.sum("processed").alias("processed"), F.sum("error_count").alias("error_count"))

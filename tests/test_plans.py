@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from fundtide.functions.dates import Clock
+from fundtide.operators.windows import since
 from fundtide.sources.market import event_market, line_market
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +60,40 @@ def test_dimension_is_broadcast_by_its_size_only(spark):
         assert "BroadcastHashJoin" not in plan(line_market(spark, SF).stock_prices.select("ticker", "sector"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _scan_rows(df):
+    """Rows the scans of an executed plan put out."""
+    df.collect()
+
+    def scans(node):
+        if node.nodeName().startswith("Scan"):
+            yield node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            yield from scans(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            yield from scans(node.plan())
+        for i in range(node.children().size()):
+            yield from scans(node.children().apply(i))
+
+    return sum(scans(df._jdf.queryExecution().executedPlan()))
+
+
+def test_clock_bounds_prune_files_and_row_groups(spark, folder):
+    path = folder("bars")
+    bars = event_market(spark, SF).stock_prices.select("ticker", "trade_date", "close_price")
+    bars.repartitionByRange(10, "trade_date").sortWithinPartitions("trade_date").write.parquet(path)
+    stored = spark.read.parquet(path)
+    recent = since(stored, Clock(stored, F.col("trade_date")), 3)
+    assert 0 < _scan_rows(recent) < stored.count() / 2
+    assert recent.count() == since(stored, "2024-01-30", 3).count() > 0
+
+
+def test_clock_bounds_prune_months(spark, folder):
+    path = folder("orders")
+    spark.read.parquet(f"{SF}/orders.parquet").select(
+        F.col("o_orderkey").alias("key"), F.to_date("o_orderdate").alias("trade_date")
+    ).withColumn("trade_month", F.trunc("trade_date", "month")).repartition(2).write.partitionBy("trade_month").parquet(path)
+    stored = spark.read.parquet(path)
+    recent = since(stored, Clock(stored, F.col("trade_date")), 40)
+    assert 0 < _scan_rows(recent) < stored.count() / 10
