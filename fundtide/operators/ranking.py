@@ -38,11 +38,8 @@ def global_rank(
         F.count("*").alias("_rows"), F.min("_position").alias("_first")
     ).withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
 
-    return (
-        placed.join(ranges, [*group, "_range"])
-        .withColumn(rank, (F.col("_position") - F.col("_first") + F.col("_before") + 1).cast("int"))
-        .drop("_position", "_range", "_first", "_before")
-    )
+    place = F.col("_position") - F.col("_first") + F.col("_before") + 1
+    return placed.join(ranges, [*group, "_range"]).select(*df.columns, place.cast("int").alias(rank))
 
 
 def with_group_total(df: DataFrame, group: Sequence[str], value: str, total: str, count: str | None = None) -> DataFrame:
