@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundtide.llm import token_files
+from fundtide.llm import packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_files.token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@_query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
