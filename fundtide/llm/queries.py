@@ -2,20 +2,39 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundtide.llm import packing, token_files
+from fundtide.llm import packing, quality_rules, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough where that folder exists on the executors (local runs, a shared installation);
+    elsewhere ship the package with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+
+
 def _query(key: str, sql: str | None = None):
     def register(build):
-        QUERIES[key] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_find_package(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = sql
         return build
@@ -37,3 +56,9 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+@_query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_rules.assess(docs, quality_rules.fit_field(docs, _table(spark, sf_dir, "labels")))
