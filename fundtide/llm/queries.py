@@ -9,7 +9,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundtide.llm import packing, quality_rules, token_files
+from fundtide.llm import packing, quality_rules, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_rules.assess(docs, quality_rules.fit_field(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
