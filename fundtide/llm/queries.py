@@ -9,7 +9,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundtide.llm import packing, quality_rules, suffix_dedup, token_files
+from fundtide.llm import language, packing, quality_rules, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_suffix_dedup")
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
+@_query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
