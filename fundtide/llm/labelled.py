@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fundtide.llm import textops
 
+_MARKS = 1 << 40
+
 
 def fold(doc_id: Column | str, parts: int) -> Column:
     """crc32 of the doc_id as text, modulo ``parts``; null for a null doc_id."""
@@ -27,7 +29,13 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, allow
     if allowed is not None:
         known = known.filter(allowed)
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # A hash bound per label leaves about twice the rows wanted, whatever the label's size.
+    bound = F.lit(None).cast("bigint")
+    for row in known.groupBy("label").count().collect():
+        share = min(1.0, (2 * per_class + 100) / row["count"])
+        bound = F.when(F.col("label") == row["label"], int(share * _MARKS)).otherwise(bound)
+    known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_MARKS)) <= bound)
+    order = Window.partitionBy("label").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(_MARKS)), "doc_id")
     chosen = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_class).drop("_n")
     # At most per_class rows per label value: small by construction.
     rows = textops.documents(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
