@@ -9,7 +9,15 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundtide.llm import language, packing, quality_rules, suffix_dedup, token_files, toxicity
+from fundtide.llm import (
+    language,
+    packing,
+    quality_model,
+    quality_rules,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +87,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
+
+
+@_query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.fit(docs, _table(spark, sf_dir, "labels")))
