@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundtide.llm import (
     language,
+    near_dedup,
     packing,
     quality_model,
     quality_rules,
@@ -93,3 +94,8 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_model.score(docs, quality_model.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query("op7_near_dedup")
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents"))
