@@ -37,8 +37,8 @@ from fundtide.sources.workspace import materialized
 WIDTH, GRAM = 200, 120
 #: Suffixes whose order the splitters come from, and suffixes that a bucket should hold.
 SPLITTER_SAMPLE, BUCKET_ROWS = 40_000, 1_500_000
-#: Windows of one text that are worked on at a time.
-SLICE = 1 << 21
+#: Windows of one text, bytes of text and suffixes that a task holds at a time.
+SLICE, CHUNK_BYTES, SEND_ROWS = 1 << 18, 1 << 18, 200_000
 #: Below this many rows a stretch is sorted at once.
 LEAF = 4096
 
@@ -176,6 +176,19 @@ def _unblob(raw: bytes) -> np.ndarray:
 _SENT = "bucket int, suffixes binary"
 
 
+def _gathered(parts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Small arrays put together, so that what goes to a bucket is worth a row."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part)
+        if size >= SEND_ROWS:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
 def _send(rows: np.ndarray, splitters: np.ndarray) -> pa.RecordBatch:
     """Rows as one packed value per bucket, in the order of rows and positions."""
     bucket = route(rows, splitters)
@@ -322,7 +335,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     share = min(1.0, SPLITTER_SAMPLE / max(1.0, n_bytes * per_byte))
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in textops.chunks(batches):
+        for batch in textops.chunks(batches, limit=CHUNK_BYTES):
             data, offsets = textops.utf8(batch.column("text"))
             found = segments(data, offsets, batch.column("key").to_numpy(zero_copy_only=False), width, gram)
             if len(found):
@@ -334,7 +347,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
 
     def send(splitters: np.ndarray) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for found in suffixes(batches):
+            for found in _gathered(suffixes(batches)):
                 yield _send(found, splitters)
 
         return keyed.select("key", "text").mapInArrow(run, _SENT)
@@ -354,16 +367,9 @@ def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     def each_window(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            held, size = [], 0
             for key, body, own in zip(*(batch.column(c) for c in ("key", "body", "parts")), strict=True):
                 at, n, t0 = (own.values.field(c).to_numpy(zero_copy_only=False) for c in ("at", "n", "t0"))
-                held.append(windows(unpack(body.as_py()), key.as_py(), at, n, t0.view(np.uint64), width))
-                size += len(held[-1])
-                if size > 1 << 18:
-                    yield np.concatenate(held)
-                    held, size = [], 0
-            if size:
-                yield np.concatenate(held)
+                yield windows(unpack(body.as_py()), key.as_py(), at, n, t0.view(np.uint64), width)
 
     def take_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in each_window(batches):
@@ -379,7 +385,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
 
     def send_windows(splitters: np.ndarray) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for found in each_window(batches):
+            for found in _gathered(each_window(batches)):
                 yield _send(found, splitters)
 
         return texts.mapInArrow(run, _SENT)
