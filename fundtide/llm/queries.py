@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fundtide.llm import (
+    decontamination,
     language,
     near_dedup,
     packing,
@@ -99,3 +100,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_near_dedup")
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
+@_query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return decontamination.matches(docs, decontamination.Index.build(docs, _table(spark, sf_dir, "benchmark")))

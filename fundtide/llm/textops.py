@@ -108,15 +108,17 @@ class Rolling:
         return mix(value + np.uint64(width))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word (run without the six ASCII spaces) and its document's index.
+def words(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Start and end of every word and its document's index.
 
-    A word never spans two documents.
+    A word is a run without the six ASCII spaces, or of the bytes that ``solid`` marks; it
+    never spans two documents.
     """
     if len(data) == 0:
         none = np.zeros(0, np.int64)
         return none, none, none
-    solid = ~IS_SPACE[data]
+    if solid is None:
+        solid = ~IS_SPACE[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
