@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundtide.llm import textops
@@ -110,7 +110,7 @@ def similarity(a: np.ndarray, a_count: np.ndarray, b: np.ndarray, b_count: np.nd
     return float(sum(t / np.maximum(wa / x, wb / y).sum() for (x, y), t in zip(pairs, times, strict=True)))
 
 
-_SIGNED = "doc_id bigint, h1 bigint, h2 bigint, bands array<bigint>"
+_SIGNED = "key bigint, doc_id bigint, h1 bigint, h2 bigint, bands array<bigint>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,8 +124,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some[owner] = True
         ends = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
         bands = pa.ListArray.from_arrays(pa.array(ends), signed(keys[some]))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), signed(h1), signed(h2), bands],
-                                         ["doc_id", "h1", "h2", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), signed(h1), signed(h2), bands],
+                                         ["key", "doc_id", "h1", "h2", "bands"])
 
 
 _SETS = "id bigint, hashes binary, counts binary"
@@ -274,14 +274,15 @@ def _ruled_out(pairs: DataFrame, compared: DataFrame, distance: float) -> DataFr
         F.abs(F.col("sa") - F.col("sb")) > distance + 1e-6).select("a", "b").distinct()
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id and kept for every row of ``docs``.
+def _row_key() -> Column:
+    """The same for rows of one doc_id and text only."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
 
-    ``class_id`` is the least doc_id of the class (null if it has none); ``kept`` marks one
-    row of each class, one with that doc_id.  Texts without words are one class, as copies.
-    """
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """key, doc_id, class_id and kept for every row."""
     rows = textops.documents(docs, "doc_id", "text")
-    signed = materialized(rows.mapInArrow(_sign, _SIGNED), "signatures")
+    signed = materialized(rows.withColumn("key", _row_key()).mapInArrow(_sign, _SIGNED), "signatures")
     texts = materialized(
         signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.first("bands").alias("bands"))
         .withColumn("id", F.monotonically_increasing_id()), "texts")
@@ -289,23 +290,29 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     placed = texts.select("h1", "h2", "id", "first_doc").join(found, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     leads = placed.groupBy("component").agg(F.min("first_doc").alias("class_id"))
-    # The text that has the class's doc_id; of repeated rows one is kept.
     named = materialized(placed.join(leads, "component").select("h1", "h2", "component", "class_id"), "named")
-    out = signed.select("doc_id", "h1", "h2").join(named, ["h1", "h2"])
-    lead = out.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    lead = lead.groupBy("component").agg(F.min(F.struct("h1", "h2")).alias("lead"))
-    out = out.join(lead, "component")
-    is_lead = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.struct("h1", "h2") == F.col("lead"))
-    return out.select("doc_id", "class_id", is_lead.alias("kept"))
+    out = signed.select("key", "doc_id", "h1", "h2").join(named, ["h1", "h2"])
+    # Of the rows with the class's doc_id, one; they are few unless a doc_id is repeated.
+    is_first = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    lead = out.filter(is_first).groupBy("component").agg(F.min(F.struct("h1", "h2", "key")).alias("lead"))
+    return out.join(lead, "component").select(
+        "key", "doc_id", "class_id", (is_first & (F.struct("h1", "h2", "key") == F.col("lead"))).alias("kept"))
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of ``docs``, all columns, of each class.
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id and kept for every row of ``docs``.
 
-    Rows that repeat the kept doc_id count once.
+    ``class_id`` is the least doc_id of the class (null if it has none); ``kept`` marks the
+    row that stands for the class, and its exact repetitions.  Null and empty texts have the
+    same words, none, and so are copies of each other.
     """
-    kept = classes(docs, threshold).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    found = docs.join(kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept")), "left_semi")
-    # doc_id is the key of documents; a repeated one leaves the row with the least text.
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return found.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    return _classes(docs, threshold).drop("key")
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of ``docs``, all columns, of each class."""
+    kept = _classes(docs, threshold).filter("kept").select(F.col("key").alias("_key")).distinct()
+    found = docs.withColumn("_key", _row_key()).join(kept, "_key", "left_semi")
+    # Rows of one key are repetitions of one row.
+    order = Window.partitionBy("_key").orderBy("_key")
+    return found.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "_key")
