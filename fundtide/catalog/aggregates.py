@@ -160,7 +160,7 @@ _PIVOT = ", ".join(f"arg_max(price, seq) FILTER (fund = '{f}') AS {f}" for f in
     "d:trade_date " + " ".join(f"f:{f}" for f in EVENT_FUNDS)))
 def pivot_close(spark, sf_dir):
     ticks = event_ticks(spark, sf_dir).select("trade_date", F.col("fund").alias("ticker"), "price", "seq")
-    return boards.pivot_close(ticks, EVENT_FUNDS)
+    return boards.pivot_close(ticks, boards.column_tickers(event_market(spark, sf_dir).fund_meta))
 
 
 @query("sector_sum_change", sql(EV, f"""

@@ -81,8 +81,8 @@ WITH ev AS (
   FROM events),
 clock AS (SELECT max(d) AS d FROM ev),
 stock_bars AS (
-  SELECT user_id, ticker, sector, d AS trade_date, arg_min(price, ts) AS open_price, max(price) AS high_price,
-    min(price) AS low_price, arg_max(price, ts) AS close_price, CAST(count(*) AS BIGINT) AS volume
+  SELECT user_id, ticker, sector, d AS trade_date, arg_min(price, seq) AS open_price, max(price) AS high_price,
+    min(price) AS low_price, arg_max(price, seq) AS close_price, CAST(count(*) AS BIGINT) AS volume
   FROM ev GROUP BY user_id, ticker, sector, d),
 stock_prices AS (
   SELECT ticker, 'User ' || ticker AS company_name, sector, trade_date, open_price, high_price, low_price,
@@ -199,11 +199,8 @@ trend AS (
   FROM fund_returns r LEFT JOIN fund_meta m ON m.ticker = r.ticker WHERE r.ticker <> '0'),
 """
 
-LI_ALLOC = LI_TREND + f"""
-usable AS (
-  SELECT * FROM stock_prices
-  WHERE sector IS NOT NULL AND sector <> 'Unknown' AND NOT regexp_matches(ticker, '^(?i)STOCK[0-9]+$')
-    AND NOT starts_with(upper(company_name), 'STOCK ')),
+# From usable stocks, holdings and the trend to one portfolio per period.
+ALLOC_STEPS = f"""
 stock_returns AS ({period_returns_sql('usable')}),
 newest AS ({latest_sql('usable', 'ticker', 'trade_date')}),
 pairs AS (SELECT DISTINCT etf_ticker, holding_ticker FROM holdings WHERE as_of_date >= {AS_OF} - 30),
@@ -224,6 +221,14 @@ weighted AS (
   FROM picks WINDOW p AS (PARTITION BY period_days)),
 alloc AS (
   SELECT *, row_number() OVER (PARTITION BY period_days ORDER BY weight DESC, etf_ticker) AS rank FROM weighted),
+"""
+
+LI_ALLOC = LI_TREND + f"""
+usable AS (
+  SELECT * FROM stock_prices
+  WHERE sector IS NOT NULL AND sector <> 'Unknown' AND NOT regexp_matches(ticker, '^(?i)STOCK[0-9]+$')
+    AND NOT starts_with(upper(company_name), 'STOCK ')),
+""" + ALLOC_STEPS + """
 stock_alloc AS (
   SELECT as_of_date, period_days, ticker, max(company_name) AS company_name, max(sector) AS sector,
     max(market_cap) AS market_cap, max(return_pct) AS return_pct, sum(weight) / 100e0 AS portfolio_weight,

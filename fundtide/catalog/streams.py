@@ -68,7 +68,7 @@ def stream_upsert_bars(spark, sf_dir):
     "etf_ticker holding_ticker holding_name f:holding_percent i:holding_shares f:holding_value d:as_of_date"))
 def stream_explode_holdings(spark, sf_dir):
     holdings = event_market(spark, sf_dir).holdings
-    topic, table, offsets = (new_folder(spark, n) for n in ("topic", "holdings", "offsets"))
+    topic, table, dead, offsets = (new_folder(spark, n) for n in ("topic", "holdings", "dead", "offsets"))
     item = F.struct(
         "etf_ticker", "holding_ticker", "holding_name", "holding_shares", "holding_value", "holding_percent",
         F.col("as_of_date").cast("string").alias("as_of_date"),
@@ -86,13 +86,35 @@ def stream_explode_holdings(spark, sf_dir):
         )
     )
     sinks.write_topic(sinks.messages(rows, "etf_ticker"), topic)
-    ingest.upsert_holdings(tables.topic_stream(spark, topic), schemas.HOLDINGS_MESSAGE, table, offsets)
+    ingest.upsert_holdings(tables.topic_stream(spark, topic), schemas.HOLDINGS_MESSAGE, table, dead, offsets)
     return spark.read.parquet(table).select(
         "etf_ticker", "holding_ticker", "holding_name", "holding_percent", "holding_shares", "holding_value",
         "as_of_date",
     )
 
 
+@query("holdings_dead_letters", sql(EV, """
+SELECT CASE fund WHEN 'error' THEN 'malformed message' WHEN 'signup' THEN 'missing etf_ticker'
+    WHEN 'view' THEN 'missing holdings' END AS error_msg, count(*) AS rejected
+FROM (SELECT DISTINCT fund, user_id, d FROM ev) m WHERE fund IN ('error', 'signup', 'view') GROUP BY fund""",
+    "error_msg i:rejected"))
+def holdings_dead_letters(spark, sf_dir):
+    """One message per fund, name and day; of three funds they are broken, nameless or empty."""
+    topic, table, dead, offsets = (new_folder(spark, n) for n in ("topic", "holdings", "dead", "offsets"))
+    ticks = event_ticks(spark, sf_dir).select("fund", "ticker", "trade_date").distinct()
+    item = F.struct(F.col("ticker").alias("holding_ticker"), F.col("trade_date").cast("string").alias("as_of_date"))
+    body = F.to_json(F.struct(
+        F.when(F.col("fund") != NAMELESS, F.col("fund")).alias("etf_ticker"),
+        F.filter(F.array(item), lambda _: F.col("fund") != "view").alias("holdings"),
+    ))
+    value = F.when(F.col("fund") == BROKEN, F.concat(F.lit("{etf_ticker:"), body)).otherwise(body)
+    rows = ticks.select(F.col("fund").alias("key"), value.alias("value"))
+    sinks.write_topic(rows.repartition(3, "key"), topic)
+    ingest.upsert_holdings(
+        tables.topic_stream(spark, topic, files_per_batch=1), schemas.HOLDINGS_MESSAGE, table, dead, offsets)
+    return spark.read.parquet(dead).groupBy("error_msg").agg(F.count("*").alias("rejected"))
+
+
 _HOURLY = sql(EV, """
 SELECT ticker, sector, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
   CAST(sum(cents) AS DOUBLE) / count(*) / 100e0 AS avg_price, min(price) AS min_price, max(price) AS max_price,
@@ -111,11 +133,12 @@ def _hour_columns(hours):
 @query("hourly_tumbling_agg", _HOURLY)
 def hourly_tumbling_agg(spark, sf_dir):
     topic, table, offsets = (new_folder(spark, n) for n in ("ticks", "hours", "offsets"))
-    _timed_ticks(spark, sf_dir).write.parquet(topic)
+    # Four files, one per micro-batch; an hour may lie in two of them.
+    _timed_ticks(spark, sf_dir).repartitionByRange(4, "ts").write.parquet(topic)
     ticks = spark.readStream.schema(
         "ticker string, sector string, ts timestamp, price double, volume bigint"
-    ).parquet(topic)
-    ingest.hourly_to_table(ticks, "2 hours", table, offsets)
+    ).option("maxFilesPerTrigger", 1).parquet(topic)
+    ingest.hourly_to_table(ticks, table, offsets)
     return _hour_columns(ingest.latest_hours(spark.read.parquet(table)))
 
 
@@ -131,15 +154,8 @@ SELECT fund, CASE fund WHEN 'error' THEN 'malformed message' ELSE 'missing ticke
 def dead_letter_split(spark, sf_dir):
     table, dead, offsets = (new_folder(spark, n) for n in ("good", "dead", "offsets"))
 
-    def split(batch, batch_id):
-        rows = ingest.checked(batch, schemas.TICK_MESSAGE).persist()
-        slice_id = F.lit(batch_id)
-        sinks.replace_slices(ingest.good_rows(rows).withColumn("batch_id", slice_id), table, ["batch_id"])
-        sinks.replace_slices(ingest.dead_letters(rows).withColumn("batch_id", slice_id), dead, ["batch_id"])
-        rows.unpersist()
-
     topic = _tick_topic(spark, sf_dir)
-    ingest.run_to_end(tables.topic_stream(spark, topic).writeStream, offsets, split)
+    ingest.split_messages(tables.topic_stream(spark, topic), schemas.TICK_MESSAGE, table, dead, offsets)
     return spark.read.parquet(dead).groupBy("error_msg").agg(
         F.count("*").alias("rejected"), F.count("raw_value").alias("with_raw_value")
     )
@@ -161,9 +177,12 @@ def dead_letter_good_rows(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     topic, table, offsets = (new_folder(spark, n) for n in ("ticks", "unique", "offsets"))
     ticks = _timed_ticks(spark, sf_dir).drop("volume")
-    ticks.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy").write.parquet(topic)
-    stream = spark.readStream.schema("ticker string, sector string, ts timestamp, price double").parquet(topic)
-    ingest.dedup_to_table(stream, ["ticker", "ts"], "1 hour", table, offsets)
+    # Every tick twice, the copy often in another file; each file is a micro-batch.
+    copies = ticks.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    copies.repartition(4, "ticker", "copy").drop("copy").write.parquet(topic)
+    stream = spark.readStream.schema("ticker string, sector string, ts timestamp, price double").option(
+        "maxFilesPerTrigger", 1).parquet(topic)
+    ingest.dedup_to_table(stream, ["ticker", "ts"], table, offsets)
     return spark.read.parquet(table).select(
         "ticker", "sector", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("tick_time"), "price"
     )

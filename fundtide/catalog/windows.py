@@ -54,12 +54,27 @@ def top5_per_fund(spark, sf_dir):
     ).select("etf_ticker", "holding_ticker", "current_price", "rank_position")
 
 
-@query("top_k_by_weight", sql(LI + f"snapshot AS ({_SNAPSHOT}),", """
-SELECT *, row_number() OVER (PARTITION BY etf_ticker ORDER BY holding_percent DESC NULLS LAST, holding_ticker) AS rank
-FROM snapshot QUALIFY rank <= 3""", "etf_ticker holding_ticker f:holding_percent d:as_of_date i:rank"))
+# Every third fund tells no percents at all, the next one only those of every other holding.
+@query("top_k_by_weight", sql(LI + f"""
+snapshot AS ({_SNAPSHOT}),
+arrivals AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS fund, CAST(l_partkey AS VARCHAR) AS name,
+    CAST(date_trunc('month', d) AS DATE) AS month, min(seq) AS arrival FROM li GROUP BY 1, 2, 3),
+told AS (
+  SELECT s.etf_ticker, s.holding_ticker, s.as_of_date, a.arrival,
+    CASE WHEN CAST(etf_ticker AS BIGINT) % 3 = 0 THEN NULL
+      WHEN CAST(etf_ticker AS BIGINT) % 3 = 1 AND CAST(holding_ticker AS BIGINT) % 2 = 0 THEN NULL
+      ELSE holding_percent END AS holding_percent
+  FROM snapshot s JOIN arrivals a ON a.fund = etf_ticker AND a.name = holding_ticker AND a.month = as_of_date),
+usable AS (SELECT * FROM told QUALIFY holding_percent IS NOT NULL OR count(holding_percent) OVER (PARTITION BY etf_ticker) = 0),
+""", """
+SELECT *, row_number() OVER (PARTITION BY etf_ticker ORDER BY holding_percent DESC NULLS LAST, arrival, holding_ticker) AS rank
+FROM usable QUALIFY rank <= 3""", "etf_ticker holding_ticker f:holding_percent d:as_of_date i:rank"))
 def top_k_by_weight(spark, sf_dir):
-    snapshot = joins.latest_snapshot(line_market(spark, sf_dir).holdings)
-    return ranking.top_by_weight(snapshot, 3).select(
+    snapshot = joins.latest_snapshot(line_market(spark, sf_dir).holdings_as_they_came)
+    fund, name = F.col("etf_ticker").cast("bigint") % 3, F.col("holding_ticker").cast("bigint") % 2
+    told = F.when((fund == 2) | ((fund == 1) & (name == 1)), F.col("holding_percent"))
+    return ranking.top_by_weight(snapshot.withColumn("holding_percent", told), 3, arrival="arrival").select(
         "etf_ticker", "holding_ticker", "holding_percent", "as_of_date", "rank"
     )
 

@@ -16,6 +16,9 @@ from fundtide.operators.returns import calendar_periods, point_return
 from fundtide.operators.windows import latest_per_key, since, top_k_per_group
 from fundtide.sources.workspace import materialized
 
+#: Names that one row may list, and columns that a matrix may have.
+MOST_NAMES, MOST_COLUMNS = 100_000, 1000
+
 
 def sector_summary(stocks: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Average change, counts and volume per sector over the last days."""
@@ -204,11 +207,28 @@ def period_trend_board(
 
 
 def funds_by_type(meta: DataFrame) -> DataFrame:
-    """Number and names of the funds of each type.  The fund list is a small dimension table."""
-    return meta.groupBy("etf_type").agg(
-        F.count("*").alias("fund_count"),
-        F.array_join(F.sort_array(F.collect_list("ticker")), ", ").alias("tickers"),
-    )
+    """Number and names of the funds of each type.
+
+    A type of more than MOST_NAMES funds is an error; no more names than that ever meet in a row.
+    """
+    counts = meta.groupBy("etf_type").agg(F.count("*").alias("fund_count"))
+    some = top_k_per_group(meta, ["etf_type"], [F.col("ticker")], MOST_NAMES, "_n")
+    names = some.groupBy(F.col("etf_type").alias("_type")).agg(
+        F.array_join(F.sort_array(F.collect_list("ticker")), ", ").alias("_names"))
+    too_many = F.concat(F.lit("too many funds of type "), "etf_type")
+    return counts.join(names, F.col("etf_type").eqNullSafe(F.col("_type"))).select(
+        "etf_type", "fund_count",
+        F.when(F.col("fund_count") > MOST_NAMES, F.raise_error(too_many).cast("string")).otherwise(F.col("_names"))
+        .alias("tickers"),
+    )
+
+
+def column_tickers(meta: DataFrame) -> list[str]:
+    """The tickers of a dimension table as columns of a matrix; more than MOST_COLUMNS are an error."""
+    found = [r[0] for r in meta.select("ticker").distinct().orderBy("ticker").limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} tickers for a matrix")
+    return found
 
 
 def pivot_close(ticks: DataFrame, tickers: Sequence[str], price: str = "price", order: str = "seq") -> DataFrame:

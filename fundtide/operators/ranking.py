@@ -8,6 +8,8 @@ rows instead, so no task ever holds more than one range.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,10 +25,11 @@ def global_rank(
 ) -> DataFrame:
     """Exact ranks 1..n inside every group.
 
-    The rows are range-partitioned and sorted by (group, order); their positions
-    are fixed by a reliable checkpoint.  A rank is then the position inside the
-    range plus the rows of the same group in earlier ranges - a table with one row
-    per range and group, which is all that is ever windowed.
+    The rows are range-partitioned and sorted by (group, order) and written to the
+    shared folder, which fixes their positions.  A rank is then the position inside
+    the range plus the rows of the same group in earlier ranges - a table with one
+    row per range and group, which is all that is ever windowed.  A NULL group is a
+    group.
     """
     placed = materialized(
         df.orderBy(*[F.col(g) for g in group], *order)
@@ -38,24 +41,27 @@ def global_rank(
         F.count("*").alias("_rows"), F.min("_position").alias("_first")
     ).withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
 
-    place = F.col("_position") - F.col("_first") + F.col("_before") + 1
-    return placed.join(ranges, [*group, "_range"]).select(*df.columns, place.cast("int").alias(rank))
+    place = F.col("p._position") - F.col("r._first") + F.col("r._before") + 1
+    keys = [*group, "_range"]
+    same = reduce(and_, [F.col(f"p.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    counted = placed.alias("p").join(ranges.alias("r"), same)
+    return counted.select(*[F.col(f"p.{c}") for c in df.columns], place.cast("int").alias(rank))
 
 
-def with_group_total(df: DataFrame, group: Sequence[str], value: str, total: str, count: str | None = None) -> DataFrame:
-    """Add a group's sum (and row count) by aggregate and join, not by a window over the group."""
-    sums = [F.sum(value).alias(total)]
-    if count:
-        sums.append(F.count("*").alias(count))
-    return df.join(df.groupBy(*group).agg(*sums), list(group))
+def top_by_weight(holdings: DataFrame, k: int, group: str = "etf_ticker", arrival: str | None = None) -> DataFrame:
+    """Top ``k`` holdings per fund by percent; equal ones in the order of ``arrival``, then by ticker.
 
-
-def top_by_weight(holdings: DataFrame, k: int, group: str = "etf_ticker") -> DataFrame:
-    """Top ``k`` holdings per fund by percent, missing percents last, then by ticker."""
-    return top_k_per_group(
-        holdings.filter(F.col("holding_ticker").isNotNull() & (F.col("holding_ticker") != "")),
-        [group], [F.col("holding_percent").desc_nulls_last(), F.col("holding_ticker")], k,
-    )
+    A holding without percent is left out, unless no holding of the fund has one: then the
+    order of arrival alone counts.
+    """
+    named = holdings.filter(F.col("holding_ticker").isNotNull() & (F.col("holding_ticker") != ""))
+    # One row per fund: whether any holding has a percent.
+    told = named.groupBy(F.col(group).alias("_fund")).agg(
+        F.max(F.col("holding_percent").isNotNull().cast("int")).alias("_told"))
+    usable = named.join(told, F.col(group).eqNullSafe(F.col("_fund"))).filter(
+        (F.col("_told") == 0) | F.col("holding_percent").isNotNull()).drop("_fund", "_told")
+    order = [F.col("holding_percent").desc_nulls_last(), *([F.col(arrival)] if arrival else []), F.col("holding_ticker")]
+    return top_k_per_group(usable, [group], order, k)
 
 
 def market_cap_rank(

@@ -166,9 +166,9 @@ def monthly_return(bars: DataFrame) -> DataFrame:
 
 
 def bars_from_ticks(
-    ticks: DataFrame, keys: Sequence[str] = ("ticker",), price: str = "price", order: str = "ts"
+    ticks: DataFrame, keys: Sequence[str] = ("ticker",), price: str = "price", order: str = "seq"
 ) -> DataFrame:
-    """OHLCV bar per instrument and day."""
+    """OHLCV bar per instrument and day; ``order`` numbers the ticks."""
     return ticks.groupBy(*keys, F.to_date("ts").alias("trade_date")).agg(
         F.min_by(price, order).alias("open_price"),
         F.max(price).alias("high_price"),

@@ -78,6 +78,11 @@ class Market:
     def holdings(self) -> DataFrame:
         return self._describe(self.positions)
 
+    @cached_property
+    def holdings_as_they_came(self) -> DataFrame:
+        """Holdings with ``arrival``, the number of the first raw row of each."""
+        return self._describe(self._build["positions"](arrival=True))
+
     def as_of(self, days_back: int = 0) -> Column:
         """Newest trade date minus ``days_back``."""
         return day(self.clock, days_back)
@@ -116,6 +121,10 @@ def _with_share(positions: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
+def _arrival(wanted: bool) -> list[Column]:
+    return [F.min("seq").alias("arrival")] if wanted else []
+
+
 def event_ticks(
     spark: SparkSession, sf_dir: str, last_days: int | None = None, clock: Clock | None = None
 ) -> DataFrame:
@@ -151,10 +160,11 @@ def event_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
 
     def stock_prices() -> DataFrame:
         bars = ticks().groupBy("user_id", "trade_date").agg(
-            F.min_by("price", "ts").alias("open_price"),
+            # The event number settles ticks of the same instant.
+            F.min_by("price", "seq").alias("open_price"),
             F.max("price").alias("high_price"),
             F.min("price").alias("low_price"),
-            F.max_by("price", "ts").alias("close_price"),
+            F.max_by("price", "seq").alias("close_price"),
             F.sum("volume").alias("volume"),
         )
         return daily_change(bars, key="user_id").select(
@@ -182,10 +192,10 @@ def event_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
             lookup(F.col("ticker"), EVENT_FUND_SECTORS).alias("sector_name"),
         )
 
-    def positions() -> DataFrame:
+    def positions(arrival: bool = False) -> DataFrame:
         held = ticks().groupBy(
             F.col("fund").alias("etf_ticker"), "user_id", F.trunc("trade_date", "week").alias("as_of_date")
-        ).agg(F.sum("volume").alias("holding_shares"), F.sum("cents").alias("value_cents"))
+        ).agg(F.sum("volume").alias("holding_shares"), F.sum("cents").alias("value_cents"), *_arrival(arrival))
         return held.withColumn("holding_ticker", F.col("user_id").cast("string"))
 
     def holdings(held: DataFrame) -> DataFrame:
@@ -197,7 +207,7 @@ def event_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
             F.concat(F.lit("User "), F.col("holding_ticker")).alias("holding_name"),
             "holding_percent", "holding_shares",
             (F.col("value_cents") / F.lit(100.0)).alias("holding_value"),
-            "as_of_date", F.lit("events").alias("source"),
+            "as_of_date", F.lit("events").alias("source"), *[c for c in held.columns if c == "arrival"],
         )
 
     return Market(
@@ -275,14 +285,14 @@ def line_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
             "close_price", "volume", "price_change_percent", "market_cap",
         )
 
-    def positions() -> DataFrame:
+    def positions(arrival: bool = False) -> DataFrame:
         held = lines().groupBy("l_suppkey", "l_partkey", F.trunc("trade_date", "month").alias("as_of_date")).agg(
-            F.sum("volume").alias("holding_shares"), F.sum("value_cents").alias("value_cents")
+            F.sum("volume").alias("holding_shares"), F.sum("value_cents").alias("value_cents"), *_arrival(arrival)
         )
         return held.select(
             F.col("l_suppkey").cast("string").alias("etf_ticker"),
             F.col("l_partkey").cast("string").alias("holding_ticker"),
-            "as_of_date", "holding_shares", "value_cents", "l_partkey",
+            "as_of_date", "holding_shares", "value_cents", "l_partkey", *[c for c in held.columns if c == "arrival"],
         )
 
     def holdings(held: DataFrame) -> DataFrame:
@@ -293,7 +303,7 @@ def line_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
         return _with_share(held, totals).join(names, "l_partkey").select(
             "etf_ticker", "holding_ticker", "holding_name", "holding_percent", "holding_shares",
             (F.col("value_cents") / F.lit(100.0)).alias("holding_value"),
-            "as_of_date", F.lit("lineitem").alias("source"),
+            "as_of_date", F.lit("lineitem").alias("source"), *[c for c in held.columns if c == "arrival"],
         )
 
     return Market(

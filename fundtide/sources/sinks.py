@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundtide.operators.sets import upsert_by_key
-from fundtide.sources.workspace import materialized
+from fundtide.sources import workspace
+
+#: Partitions that one upsert may touch; a partition is a calendar period, so more is an error.
+MOST_PARTITIONS = 5000
 
 
 def messages(df: DataFrame, key: str) -> DataFrame:
@@ -53,19 +56,37 @@ def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | Non
         raise
 
 
+def only_partitions(table: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """The rows of the named partitions, by literals, so that no other file is opened; None names the NULL one."""
+    column = F.col(partition)
+    wanted = column.isin(*[v for v in values if v is not None])
+    return table.filter(wanted | column.isNull() if None in values else wanted)
+
+
 def upsert_rows(
     incoming: DataFrame, path: str, keys: Sequence[str], partition: str, order: Sequence[Column] = ()
 ) -> None:
-    """Insert or update ``incoming`` by key.  ``partition`` must be a function of the keys."""
+    """Insert or update ``incoming`` by key.  ``partition`` must be a function of the keys.
+
+    The partitions that the incoming rows touch are looked up first and name the part of
+    the table to read, so no other file is opened.  NULL is a partition like any other.
+    """
     spark = incoming.sparkSession
-    # With the schema given, the partition column keeps its type.
-    existing = read_or_none(spark, path, incoming.schema)
-    if existing is None:
-        existing = incoming.limit(0)
-    else:
-        touched = incoming.select(partition).distinct()
-        existing = existing.join(touched, partition, "left_semi")
-    merged = materialized(
-        upsert_by_key(existing.select(*incoming.columns), incoming, keys, order), "merged"
-    )
-    replace_slices(merged, path, [partition])
+    with workspace.scratch(spark):
+        # Read three times: kept in the shared folder, so lost executors cannot change it.
+        incoming = workspace.materialized(incoming, "incoming")
+        touched = [r[0] for r in incoming.select(partition).distinct().limit(MOST_PARTITIONS + 1).collect()]
+        if len(touched) > MOST_PARTITIONS:
+            raise ValueError(f"an upsert touches more than {MOST_PARTITIONS} values of {partition}")
+        if not touched:
+            return
+        # With the schema given, the partition column keeps its type.
+        existing = read_or_none(spark, path, incoming.schema)
+        if existing is None:
+            existing = incoming.limit(0)
+        else:
+            existing = only_partitions(existing, partition, touched)
+        merged = workspace.materialized(
+            upsert_by_key(existing.select(*incoming.columns), incoming, keys, order), "merged"
+        )
+        replace_slices(merged, path, [partition])

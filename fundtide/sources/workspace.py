@@ -1,19 +1,25 @@
 """Where intermediate and output files go.
 
 Everything is placed under the folder the cluster names in
-``spark.checkpoint.dir``.  Only a session without that setting (a local test)
-gets a folder of its own.
+``spark.checkpoint.dir``.  Only a local session without that setting (a test)
+gets a folder of its own; anywhere else executors could not see such a folder,
+so a missing setting is an error.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+#: Folders handed out inside each open ``scratch`` block, innermost last.
+_open: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
@@ -22,6 +28,9 @@ def shared_folder(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"{_SETTING} must name a folder that driver and executors share (master is {master})")
     own = tempfile.mkdtemp(prefix="fundtide-")
     spark.sparkContext.setCheckpointDir(own)
     return own
@@ -29,7 +38,33 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to."""
-    return f"{shared_folder(spark)}/fundtide/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/fundtide/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`new_folder` named."""
+    if not path.startswith(f"{shared_folder(spark)}/fundtide/"):
+        raise ValueError(f"not a work folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block every work folder that was handed out in it.
+
+    A job stores its result inside the block; frames that read intermediates are
+    of no use after it.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove(spark, path)
 
 
 def materialized(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -7,6 +7,8 @@ and writes through an idempotent sink, so a replayed batch changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -115,62 +117,131 @@ def holding_rows(messages: DataFrame) -> DataFrame:
 
 
 def upsert_holdings(
-    messages: DataFrame, schema: T.StructType, table: str, checkpoint: str
+    messages: DataFrame, schema: T.StructType, table: str, dead_table: str, checkpoint: str
 ) -> StreamingQuery:
-    """Fund messages into holdings keyed by (etf_ticker, holding_ticker, as_of_date)."""
+    """Fund messages into holdings keyed by (etf_ticker, holding_ticker, as_of_date).
+
+    Unreadable messages, and those without a fund or without holdings, go to the dead-letter
+    table, one slice per batch.  A holding without any date is stored under a NULL date.
+    """
     newest = [F.col("timestamp").desc_nulls_last(), F.xxhash64("*").desc()]
 
-    def store(batch: DataFrame, _: int) -> None:
-        rows = holding_rows(good_rows(checked(batch, schema, ["etf_ticker", "holdings"])))
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = checked(batch, schema, ["etf_ticker", "holdings"]).withColumn(
+            "error_msg", F.coalesce("error_msg", F.when(F.size("data.holdings") == 0, "missing holdings"))
+        ).persist()
         sinks.upsert_rows(
-            rows, table, ["etf_ticker", "holding_ticker", "as_of_date"], "as_of_date", newest
+            holding_rows(good_rows(rows)), table, ["etf_ticker", "holding_ticker", "as_of_date"], "as_of_date", newest
         )
+        sinks.replace_slices(
+            dead_letters(rows).withColumn("batch_id", F.lit(batch_id)), dead_table, ["batch_id"]
+        )
+        rows.unpersist()
 
     return run_to_end(messages.writeStream, checkpoint, store)
 
 
-def hourly(ticks: DataFrame, delay: str | None = None, ts: str = "ts") -> DataFrame:
-    """Mean, extremes, volume and count per ticker, sector and hour.
+def split_messages(
+    messages: DataFrame, schema: T.StructType, table: str, dead_table: str, checkpoint: str,
+    required: Sequence[str] = ("ticker",),
+) -> StreamingQuery:
+    """Good rows into one table and dead letters into another, one slice per batch each."""
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = checked(batch, schema, required).persist()
+        for part, path in ((good_rows(rows), table), (dead_letters(rows), dead_table)):
+            sinks.replace_slices(part.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id"])
+        rows.unpersist()
 
-    Works on a stream (give ``delay``, the watermark) and on a table.
-    """
-    rows = ticks if delay is None else ticks.withWatermark(ts, delay)
-    return rows.groupBy(F.window(ts, "1 hour").alias("hour"), "ticker", "sector").agg(
-        F.avg("price").alias("avg_price"), F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-        F.sum("volume").alias("total_volume"), F.count("*").alias("record_count"),
-    ).select(
-        "ticker", "sector", F.col("hour.start").alias("window_start"), F.col("hour.end").alias("window_end"),
-        "avg_price", "min_price", "max_price", "total_volume", "record_count",
-    )
+    return run_to_end(messages.writeStream, checkpoint, store)
 
 
 HOUR_KEYS = ("ticker", "sector", "window_start")
 
 
-def hourly_to_table(ticks: DataFrame, delay: str, table: str, checkpoint: str, ts: str = "ts") -> StreamingQuery:
-    """Hourly figures, corrected while an hour is open.
+def hourly(ticks: DataFrame, ts: str = "ts") -> DataFrame:
+    """Mean, extremes, volume and count per ticker, sector and hour."""
+    return _hours(_hour_parts(ticks, ts))
 
-    Update mode emits the changed hours of each batch; a batch is one slice of the
-    table, so a replay replaces it.  ``latest_hours`` reads the newest figure of
-    every hour.
+
+def _hour_parts(ticks: DataFrame, ts: str) -> DataFrame:
+    """Sums from which hourly figures are made; parts of one hour may be added up."""
+    return ticks.groupBy(F.window(ts, "1 hour").alias("hour"), "ticker", "sector").agg(
+        F.sum("price").alias("price_sum"), F.count("price").alias("price_count"), F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"), F.sum("volume").alias("total_volume"), F.count("*").alias("record_count"),
+    ).select("ticker", "sector", F.col("hour.start").alias("window_start"), F.col("hour.end").alias("window_end"),
+             "price_sum", "price_count", "min_price", "max_price", "total_volume", "record_count")
+
+
+def _hours(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*HOUR_KEYS, "window_end").agg(
+        F.try_divide(F.sum("price_sum"), F.sum("price_count")).alias("avg_price"),
+        F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price"),
+        F.sum("total_volume").alias("total_volume"), F.sum("record_count").alias("record_count"),
+    )
+
+
+def hourly_to_table(ticks: DataFrame, table: str, checkpoint: str, ts: str = "ts") -> StreamingQuery:
+    """Hourly sums of every micro-batch, one slice per batch.
+
+    No row is ever late: a tick that arrives days after its hour adds a part to it.  A replay
+    replaces its own slice.  ``latest_hours`` adds the parts up.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        sinks.replace_slices(batch.withColumn("batch_id", F.lit(batch_id)), table, ["batch_id"])
+        sinks.replace_slices(_hour_parts(batch, ts).withColumn("batch_id", F.lit(batch_id)), table, ["batch_id"])
 
-    return run_to_end(hourly(ticks, delay, ts).writeStream.outputMode("update"), checkpoint, store)
+    return run_to_end(ticks.writeStream, checkpoint, store)
 
 
 def latest_hours(table: DataFrame) -> DataFrame:
-    """The newest figure of every hour."""
-    return top_k_per_group(table, HOUR_KEYS, [F.col("batch_id").desc()], 1, "_n").drop("_n", "batch_id")
+    """The figures of every hour from all batches so far."""
+    return _hours(table.drop("batch_id"))
+
+
+def open_hours(ticks: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
+    """Hourly figures as a stream with a watermark, for dashboards that need not be complete.
+
+    Ticks more than ``delay`` behind the newest are not counted; ``hourly_to_table`` counts all.
+    """
+    return ticks.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour").alias("hour"), "ticker", "sector").agg(
+        F.avg("price").alias("avg_price"), F.min("price").alias("min_price"), F.max("price").alias("max_price"),
+        F.sum("volume").alias("total_volume"), F.count("*").alias("record_count"),
+    ).select("ticker", "sector", F.col("hour.start").alias("window_start"), F.col("hour.end").alias("window_end"),
+             "avg_price", "min_price", "max_price", "total_volume", "record_count")
 
 
 def dedup_to_table(
-    ticks: DataFrame, keys: Sequence[str], delay: str, table: str, checkpoint: str, ts: str = "ts"
+    ticks: DataFrame, keys: Sequence[str], table: str, checkpoint: str, ts: str = "ts"
 ) -> StreamingQuery:
-    """First message per key within the watermark, appended to a table."""
-    unique = ticks.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
-    return run_to_end(unique.writeStream.format("parquet").option("path", table), checkpoint)
+    """One message per key into a table partitioned by day and batch.
+
+    A message is compared with the table's rows of its own days, however late it comes, so
+    the result does not depend on how the input is cut into batches.  ``keys`` must contain
+    the event time.  A replay replaces its own slice.
+    """
+    if ts not in keys:
+        raise ValueError(f"the keys must contain the event time {ts}")
+    order = [F.xxhash64("*")]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        day = F.to_date(ts)
+        fresh = top_k_per_group(batch.withColumn("day", day), keys, order, 1, "_n").drop("_n").persist()
+        days = [r[0] for r in fresh.select("day").distinct().limit(sinks.MOST_PARTITIONS + 1).collect()]
+        if len(days) > sinks.MOST_PARTITIONS:
+            raise ValueError(f"a batch holds more than {sinks.MOST_PARTITIONS} days")
+        stored = sinks.read_or_none(spark, table, T.StructType([
+            *fresh.schema.fields, T.StructField("batch_id", T.LongType())]))
+        if stored is not None and days:
+            known = sinks.only_partitions(stored, "day", days).filter(F.col("batch_id") != batch_id)
+            old = known.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            fresh_only = fresh.join(old, same, "left_anti")
+        else:
+            fresh_only = fresh
+        sinks.replace_slices(fresh_only.withColumn("batch_id", F.lit(batch_id).cast("bigint")), table, ["day", "batch_id"])
+        fresh.unpersist()
+
+    return run_to_end(ticks.writeStream, checkpoint, store)
 
 
 def store_and_count(

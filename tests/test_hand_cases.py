@@ -45,13 +45,13 @@ def test_coverage_rule_drops_short_series(bars):
     assert rows(returns.period_returns(series, [20]), "ticker") == [("LONG",)]
 
 
-def test_top_three_by_percent_and_missing_last(spark):
+def test_top_three_by_percent_and_missing_left_out(spark):
     held = spark.createDataFrame(
         [("SPY", "MSFT", 5.5), ("SPY", "AAPL", 5.2), ("SPY", "NVDA", 4.8), ("SPY", "TSLA", 2.1), ("SPY", "ZZZ", None)],
         "etf_ticker string, holding_ticker string, holding_percent double",
     )
     assert rows(ranking.top_by_weight(held, 3), "rank", "holding_ticker") == [(1, "MSFT"), (2, "AAPL"), (3, "NVDA")]
-    assert rows(ranking.top_by_weight(held, 9), "rank", "holding_ticker")[-1] == (5, "ZZZ")
+    assert rows(ranking.top_by_weight(held, 9), "rank", "holding_ticker")[-1] == (4, "TSLA")
 
 
 def test_dedup_keeps_three_of_four(spark):

@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from fundtide import catalog
 from tools.compare import compare, duck
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# Optional subpackages have tests of their own.
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from fundtide import catalog
 from fundtide.functions.dates import Clock
 from fundtide.operators.windows import since
 from fundtide.sources.market import event_market, line_market
@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 # Queries that run streams or write tables return a plan over what they wrote.
 LAZY = sorted(
-    k for k in entry.queries()
+    k for k in catalog.queries()
     if not k.startswith(("stream_", "hourly_tumbling")) and not k.endswith("_sink") and "dead_letter" not in k
 )
 
@@ -23,7 +23,7 @@ def plan(df):
 
 @pytest.mark.parametrize("key", LAZY)
 def test_no_python_no_cross_join_no_unpartitioned_window(spark, key):
-    text = plan(entry.queries()[key](spark, SF))
+    text = plan(catalog.queries()[key](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
         assert bad not in text
     lines = text.splitlines()

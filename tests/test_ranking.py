@@ -83,3 +83,26 @@ def test_row_limits_reach_the_map_side(spark, bars):
         bars({"A": range(1, 30)}).withColumn("name", F.lit("x")), carry=["name"]
     )._jdf.queryExecution().executedPlan().toString()
     assert carried.count("WindowGroupLimit") == 2
+
+
+def test_a_null_group_is_ranked_like_any_other(spark):
+    from pyspark.sql import functions as F
+
+    from fundtide.operators import ranking
+
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, v int")
+    got = sorted((r.g or "", r.v, r["rank"]) for r in ranking.global_rank(df, ["g"], [F.col("v")]).collect())
+    assert got == [("", 1, 1), ("", 3, 2), ("a", 2, 1)]
+
+
+def test_holdings_without_percents_keep_their_order_of_arrival(spark):
+    from fundtide.operators import ranking
+
+    df = spark.createDataFrame(
+        [("A", "x", 1.0, 3), ("A", "y", None, 1), ("A", "z", 2.0, 2), ("A", "w", 1.0, 2),
+         ("B", "x", None, 3), ("B", "y", None, 1), ("B", None, None, 0)],
+        "etf_ticker string, holding_ticker string, holding_percent double, arrival int")
+    got = {}
+    for r in ranking.top_by_weight(df, 3, arrival="arrival").orderBy("etf_ticker", "rank").collect():
+        got.setdefault(r.etf_ticker, []).append(r.holding_ticker)
+    assert got == {"A": ["z", "w", "x"], "B": ["y", "x"]}

@@ -121,7 +121,7 @@ def test_hours_spread_over_batches(spark, folder):
             f"SELECT 'A' AS ticker, 'S' AS sector, timestamp'2026-01-25 10:{minute}:00' AS ts, "
             f"{price}D AS price, 5L AS volume"
         ).write.mode("append").parquet(topic)
-        ingest.hourly_to_table(spark.readStream.schema(schema).parquet(topic), "1 hour", table, offsets)
+        ingest.hourly_to_table(spark.readStream.schema(schema).parquet(topic), table, offsets)
     (row,) = ingest.latest_hours(spark.read.parquet(table)).collect()
     assert (row.avg_price, row.total_volume, row.record_count) == (15.0, 10, 2)
 
@@ -131,3 +131,109 @@ def test_message_round_trip(spark, folder):
     sinks.write_topic(sinks.messages(spark.createDataFrame([("A", 1)], "ticker string, v int"), "ticker"), path)
     (row,) = tables.topic_batch(spark, path).select("key", F.get_json_object("value", "$.v").alias("v")).collect()
     assert (row.key, row.v) == ("A", "1")
+
+
+def test_upsert_keeps_rows_without_partition(spark, folder):
+    """A holdings message without any date goes to the NULL partition, and stays there."""
+    table, dead, offsets = folder("holdings"), folder("dead"), folder("offsets")
+    topic = folder("topic")
+    for fund, name in (("A", "X"), ("B", "Y")):
+        body = '{"etf_ticker":"%s","holdings":[{"holding_ticker":"%s"}]}' % (fund, name)
+        sinks.write_topic(spark.createDataFrame([("k", body)], schemas.TOPIC), topic)
+        ingest.upsert_holdings(tables.topic_stream(spark, topic), schemas.HOLDINGS_MESSAGE, table, dead, offsets)
+    assert sorted((r.etf_ticker, r.holding_ticker) for r in spark.read.parquet(table).collect()) == [("A", "X"), ("B", "Y")]
+
+
+def test_upsert_reads_only_the_months_it_brings(spark, folder):
+    path = folder("bars")
+    rows = [("A", date(2026, m, 5), 1.0) for m in range(1, 11)]
+    sinks.upsert_rows(_bars(spark, *rows), path, ["ticker", "trade_date"], "trade_month")
+    for months, files in (([date(2026, 4, 1)], 1), ([date(2026, 4, 1), date(2026, 7, 1)], 2), ([None], 0)):
+        part = sinks.only_partitions(spark.read.parquet(path), "trade_month", months)
+        part.collect()
+        scan = part._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().apply("numFiles").value() == files
+    sinks.upsert_rows(_bars(spark, ("A", date(2026, 4, 5), 2.0)), path, ["ticker", "trade_date"], "trade_month")
+    assert ("A", "2026-04-05", 2.0) in _stored(spark, path) and len(_stored(spark, path)) == 10
+
+
+def test_holdings_rejects_are_kept_and_counted(spark, folder):
+    table, dead, offsets = folder("holdings"), folder("dead"), folder("offsets")
+    topic = _topic(
+        spark, folder,
+        '{"etf_ticker":"A","timestamp":"2026-01-25T11:00:00","holdings":[{"holding_ticker":"X"}]}',
+        '{etf_ticker:"A"}', '{"holdings":[{"holding_ticker":"X"}]}', '{"etf_ticker":"A"}', '{"etf_ticker":"A","holdings":[]}',
+    )
+    ingest.upsert_holdings(tables.topic_stream(spark, topic), schemas.HOLDINGS_MESSAGE, table, dead, offsets)
+    assert spark.read.parquet(table).count() == 1
+    assert sorted(r.error_msg for r in spark.read.parquet(dead).collect()) == [
+        "malformed message", "missing etf_ticker", "missing holdings", "missing holdings"]
+
+
+TICKS = [("A", 50, 1.0), ("A", 10, 2.0), ("B", 55, 3.0), ("A", 5, 4.0), ("B", 1, 5.0), ("A", 10, 2.0)]
+
+
+def _tick_files(spark, topic):
+    """One file per tick, hours apart and in disorder."""
+    for ticker, hour, price in TICKS:
+        spark.sql(
+            f"SELECT '{ticker}' AS ticker, 'S' AS sector, timestamp'2026-01-01 00:00:00' + INTERVAL {hour} HOURS AS ts, "
+            f"{price}D AS price, 1L AS volume").write.mode("append").parquet(topic)
+
+
+def test_no_tick_is_late(spark, folder):
+    """One batch or one per file: the same hours and the same unique ticks, and none is lost."""
+    schema = "ticker string, sector string, ts timestamp, price double, volume bigint"
+    topic = folder("ticks")
+    _tick_files(spark, topic)
+    hours, unique = [], []
+    for files in (1, 100):
+        stream = lambda n=files: spark.readStream.schema(schema).option("maxFilesPerTrigger", n).parquet(topic)
+        table = folder("hours")
+        ingest.hourly_to_table(stream(), table, folder("offsets"))
+        hours.append(sorted(tuple(r) for r in ingest.latest_hours(spark.read.parquet(table)).collect()))
+        table = folder("unique")
+        ingest.dedup_to_table(stream(), ["ticker", "ts"], table, folder("offsets"))
+        unique.append(sorted((r.ticker, r.ts, r.price) for r in spark.read.parquet(table).collect()))
+    assert hours[0] == hours[1] and sum(r[-1] for r in hours[0]) == len(TICKS)
+    assert unique[0] == unique[1] and len(unique[0]) == 5
+
+
+def test_open_hours_have_a_watermark(spark, folder):
+    topic = folder("ticks")
+    _tick_files(spark, topic)
+    frame = spark.readStream.schema("ticker string, sector string, ts timestamp, price double, volume bigint").parquet(topic)
+    assert "EventTimeWatermark" in ingest.open_hours(frame, "1 hour")._jdf.queryExecution().analyzed().toString()
+
+
+def test_scratch_folders_go_with_their_block(spark):
+    with workspace.scratch(spark):
+        rows = workspace.materialized(spark.range(5), "step")
+        path = workspace.new_folder(spark, "other")
+        assert rows.count() == 5
+    left = rows.inputFiles()
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in left) and not os.path.exists(path)
+    try:
+        workspace.remove(spark, "/tmp/elsewhere")
+        raise AssertionError("removed a folder that is not its own")
+    except ValueError:
+        pass
+
+
+def test_no_private_folder_on_a_cluster():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(RuntimeError):
+        workspace.shared_folder(Session())
