@@ -11,12 +11,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fundtide.llm import decontamination, near_dedup, packing, quality_rules, suffix_dedup
-from fundtide.llm.queries import workers_find_package
+from fundtide.llm.queries import prepare
 from fundtide.sources.workspace import materialized
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    workers_find_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,13 +27,13 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the least doc_id."""
-    workers_find_package(spark)
+    prepare(spark)
     return near_dedup.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes and more that occur twice are cut out of the texts."""
-    workers_find_package(spark)
+    prepare(spark)
     return suffix_dedup.remove_repeats(docs)
 
 
@@ -45,7 +45,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokenised documents with their place in sequences of 2048 tokens."""
-    workers_find_package(spark)
+    prepare(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 

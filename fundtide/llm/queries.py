@@ -40,10 +40,21 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
 
 
+#: Rows that a Python worker is sent at a time.  Texts are long, and the executor's JVM and
+#: the worker each hold such a batch.
+ARROW_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators expect of a session."""
+    workers_find_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def _query(key: str, sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            workers_find_package(spark)
+            prepare(spark)
             return build(spark, sf_dir)
 
         QUERIES[key] = run
