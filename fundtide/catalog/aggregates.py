@@ -12,6 +12,7 @@ from fundtide.operators import boards, portfolio, returns
 from fundtide.operators.windows import latest_per_key
 from fundtide.plans import jobs
 from fundtide.sources.market import EVENT_FUNDS, event_market, event_ticks, line_market
+from fundtide.sources.workspace import materialized
 
 
 @query("range_return", sql(LI + f"gains AS ({period_returns_sql('fund_prices', (20,))}),", "SELECT * FROM gains",
@@ -35,14 +36,7 @@ pointed AS ({period_returns_sql('stock_prices', kind='point')}),
 FROM ranged r JOIN pointed p ON p.ticker = r.ticker AND p.period_days = r.period_days""",
     "ticker i:period_days i:day_count f:range_return f:point_return"))
 def multi_period_return(spark, sf_dir):
-    stocks = line_market(spark, sf_dir).stock_prices
-    ranged = returns.period_returns(stocks).select(
-        "ticker", "period_days", "day_count", F.col("return_pct").alias("range_return")
-    )
-    pointed = returns.period_returns(stocks, kind="point").select(
-        "ticker", "period_days", F.col("return_pct").alias("point_return")
-    )
-    return ranged.join(pointed, ["ticker", "period_days"])
+    return returns.range_and_point_returns(line_market(spark, sf_dir).stock_prices)
 
 
 @query("stock_metrics", sql(
@@ -113,7 +107,9 @@ SELECT 'stock', etf_ticker, holding_ticker, as_of_date FROM holdings h
 WHERE as_of_date = (SELECT max(as_of_date) FROM holdings x WHERE x.holding_ticker = h.holding_ticker)""",
     "scope etf_ticker holding_ticker d:as_of_date"))
 def latest_date_filter(spark, sf_dir):
-    holdings = line_market(spark, sf_dir).positions.select("etf_ticker", "holding_ticker", "as_of_date")
+    # Read by four branches: the pairs are written once.
+    holdings = materialized(
+        line_market(spark, sf_dir).positions.select("etf_ticker", "holding_ticker", "as_of_date"), "pairs")
     columns = ["scope", "etf_ticker", "holding_ticker", "as_of_date"]
     overall = jobs.latest_date_rows(holdings, "as_of_date").withColumn("scope", F.lit("overall"))
     by_stock = jobs.latest_date_rows(holdings, "as_of_date", ["holding_ticker"]).withColumn("scope", F.lit("stock"))

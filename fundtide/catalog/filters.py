@@ -135,7 +135,7 @@ bench AS (SELECT period_days AS p, return_pct AS benchmark_return FROM gains WHE
 WHERE ticker <> '0'""", "ticker i:period_days f:return_pct f:benchmark_return is_trending"))
 def flag_trending(spark, sf_dir):
     m = line_market(spark, sf_dir)
-    gains = returns.period_returns(m.fund_prices, kind="point")
+    gains = materialized(returns.period_returns(m.fund_prices, kind="point"), "fund-returns")
     return portfolio.flag_trending(gains, m.benchmark).select(
         "ticker", "period_days", "return_pct", "benchmark_return", "is_trending"
     )

@@ -68,7 +68,8 @@ in_sector AS (
 
 def event_sector_trend(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    gains = returns.period_returns(m.fund_prices)
+    # The benchmark's row and the funds' rows both come from these few rows.
+    gains = materialized(returns.period_returns(m.fund_prices), "fund-returns")
     sectors = m.fund_meta.filter(F.col("sector_name").isNotNull()).select(
         "ticker", F.col("sector_name").alias("sector")
     )
@@ -77,10 +78,10 @@ def event_sector_trend(spark, sf_dir):
 
 def event_stocks_in_sectors(spark, sf_dir):
     stocks = event_market(spark, sf_dir).stock_prices
-    gains = returns.period_returns(stocks).select("ticker", "period_days", "return_pct")
-    return joins.stocks_in_trending_sectors(
-        joins.join_latest_metadata(gains, stocks), event_sector_trend(spark, sf_dir)
-    )
+    # The newest row's attributes come with the returns, so the bars are read once.
+    gains = returns.period_returns(stocks, carry=["company_name", "sector", "market_cap"]).select(
+        "ticker", "period_days", "return_pct", "company_name", "sector", "market_cap")
+    return joins.stocks_in_trending_sectors(gains, event_sector_trend(spark, sf_dir))
 
 
 @query("stocks_in_trending_sectors", sql(

@@ -82,19 +82,15 @@ def _market_rows(stocks: DataFrame) -> DataFrame:
 def mtd_top_equal_weight(stocks: DataFrame, as_of, k: int = 10) -> DataFrame:
     """Top tickers by average daily change this month; over the whole history when the month is empty."""
     rows = _market_rows(stocks)
-    start = month(as_of)
-    # The first day to read is one value: the month's start, or the beginning when the month has no row.
-    first_day = (
-        rows.filter(F.col("trade_date") >= start)
-        .agg(F.when(F.count("*") == 0, F.lit("0001-01-01").cast("date")).otherwise(start).alias("d"))
-        .scalar()
-    )
-    return (
-        rows.filter(F.col("trade_date") >= first_day)
-        .groupBy("ticker", "company_name", "sector")
-        .agg(F.avg("price_change_percent").alias("avg_change"))
-        .orderBy(F.col("avg_change").desc(), "ticker").limit(k)
-    )
+
+    def averages(part: DataFrame) -> DataFrame:
+        return part.groupBy("ticker", "company_name", "sector").agg(F.avg("price_change_percent").alias("avg_change"))
+
+    # One row per ticker, written once: whether there is any decides if the history is read at all.
+    found = materialized(averages(rows.filter(F.col("trade_date") >= month(as_of))), "month-averages")
+    if found.isEmpty():
+        found = averages(rows)
+    return found.orderBy(F.col("avg_change").desc(), "ticker").limit(k)
 
 
 def sector_leaders(stocks: DataFrame, as_of, k: int = 10, month_to_date: bool = True) -> DataFrame:
@@ -162,9 +158,10 @@ def period_trend_board(
         calendar_periods(fund_prices, as_of, periods, 3)
         .select("ticker", "trade_date", "close_price", "period_days")
     )
-    fund_gain = point_return(funds, keys).withColumn(
+    # One row per fund and period, read for the benchmark and for the sectors.
+    fund_gain = materialized(point_return(funds, keys).withColumn(
         "gain", F.when(F.col("day_count") >= 2, F.col("return_pct")).otherwise(F.lit(0.0))
-    )
+    ).select(*keys, "gain"), "fund-gains")
     # One row per period.
     reference = F.broadcast(
         fund_gain.filter(F.col("ticker") == benchmark).select("period_days", F.col("gain").alias("benchmark_return"))
@@ -176,11 +173,13 @@ def period_trend_board(
     rows = calendar_periods(stocks, as_of, periods, 3).select(
         "ticker", "company_name", "sector", "trade_date", "close_price", "period_days"
     )
-    gains = (
+    # One row per stock and period, read for the sectors, the leaders and the details.
+    gains = materialized(
         point_return(rows, ("ticker", "company_name", "sector", "period_days"))
         .filter((F.col("day_count") >= 2) & (F.col("end_price") > 0))
         .withColumnRenamed("return_pct", "period_return")
-        .select(*keys, "company_name", "sector", "period_return", "start_price", "end_price")
+        .select(*keys, "company_name", "sector", "period_return", "start_price", "end_price"),
+        "stock-gains",
     )
     by_sector = (
         gains.groupBy("sector", "period_days")

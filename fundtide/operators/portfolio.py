@@ -211,11 +211,11 @@ def assign_final_ranks(
     """
     best_first = [F.col("score").desc(), F.col("return_20").desc(), F.col("ticker")]
     date = ["as_of_date"]
-    existing = top_k_per_group(scored.filter(~F.col("is_new")), date, best_first, size, "own_rank")
-    new = top_k_per_group(scored.filter("is_new"), date, best_first, size + first_new - 1, "own_rank")
+    # One window for both classes; the existing ones are cut further by their rank.
+    own = top_k_per_group(scored, [*date, "is_new"], best_first, size + first_new - 1, "own_rank")
 
     per_day = Window.partitionBy(*date)
-    merged = existing.unionByName(new).withColumn(
+    merged = own.filter(F.col("is_new") | (F.col("own_rank") <= size)).withColumn(
         "overall_rank", F.row_number().over(per_day.orderBy(*best_first))
     ).withColumn(
         "adjusted_rank",

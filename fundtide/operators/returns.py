@@ -76,6 +76,22 @@ def period_returns(
     return min_coverage(_summarize(rows, [key, "period_days", *carry], kind), coverage)
 
 
+def range_and_point_returns(
+    bars: DataFrame, periods: Sequence[int] = settings.PERIODS, key: str = "ticker",
+    coverage: float = settings.MIN_COVERAGE,
+) -> DataFrame:
+    """Both returns of every ticker over its newest N rows, from one grouping."""
+    both = rows_by_period(bars, periods, key).groupBy(key, "period_days").agg(
+        F.count("*").alias("day_count"), F.min("close_price").alias("_low"), F.max("close_price").alias("_high"),
+        F.min_by("close_price", "trade_date").alias("_first"), F.max_by("close_price", "trade_date").alias("_last"),
+    )
+    return min_coverage(both, coverage).select(
+        key, "period_days", "day_count",
+        pct_change(F.col("_high"), F.col("_low")).alias("range_return"),
+        pct_change(F.col("_last"), F.col("_first")).alias("point_return"),
+    )
+
+
 def range_return(bars: DataFrame, period: int, **options) -> DataFrame:
     return period_returns(bars, [period], "range", **options)
 
