@@ -8,8 +8,9 @@ the index.
 
 Texts with the same words are one *text* from the start.  Texts that agree in a whole
 band are candidates.  A bucket is never expanded into all pairs: its texts are compared
-with a few pivots, and only texts that are not yet connected, and whose distances from
-the pivots (a metric) allow it, are compared with each other.
+with a few pivots.  What this does not connect - texts outside a bucket's largest component -
+meets the rest of its bucket in blocks of bounded size, which give links only; blocks of one
+bucket go to many tasks.  Pivot pairs are first judged by their signatures.
 """
 
 from __future__ import annotations
@@ -30,8 +31,13 @@ BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
 PIVOTS = 3
 CHUNK_BYTES = 2 << 20
-#: Beyond this many pairs for each row of the buckets another round of pivots goes first.
-OPEN_PAIRS = 4
+#: Rounds of pivots at most; none but the first when no more pairs are open than texts times this.
+ROUNDS, OPEN_PAIRS = 6, 200
+#: Texts in a block.
+BLOCK = 64
+#: Pairs whose signatures agree in less than this share of the registers are not near: at a
+#: similarity of THRESHOLD that is more than seven standard deviations off.
+LEAST_AGREEING = -(-REGISTERS * 55 // 100)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, ...]:
@@ -110,7 +116,7 @@ def similarity(a: np.ndarray, a_count: np.ndarray, b: np.ndarray, b_count: np.nd
     return float(sum(t / np.maximum(wa / x, wb / y).sum() for (x, y), t in zip(pairs, times, strict=True)))
 
 
-_SIGNED = "key bigint, doc_id bigint, h1 bigint, h2 bigint, bands array<bigint>"
+_SIGNED = "key bigint, doc_id bigint, h1 bigint, h2 bigint, bands array<bigint>, marks binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,14 +124,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in textops.chunks(batches, limit=CHUNK_BYTES):
         n = batch.num_rows
         owner, hashes, counts, h1, h2 = shingles(*textops.utf8(batch.column("text")))
-        keys = band_keys(signatures(owner, hashes, counts, n))
+        signature = signatures(owner, hashes, counts, n)
+        keys = band_keys(signature)
+        # Sixteen bits of each register are enough to compare signatures.
+        marks = [row.tobytes() for row in (signature >> np.uint64(48)).astype("<u2")]
         # Texts without words share nothing with others.
         some = np.zeros(n, bool)
         some[owner] = True
         ends = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
         bands = pa.ListArray.from_arrays(pa.array(ends), signed(keys[some]))
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), signed(h1), signed(h2), bands],
-                                         ["key", "doc_id", "h1", "h2", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), signed(h1), signed(h2), bands,
+                                          pa.array(marks, pa.binary())],
+                                         ["key", "doc_id", "h1", "h2", "bands", "marks"])
 
 
 _SETS = "id bigint, hashes binary, counts binary"
@@ -180,98 +190,164 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["a", "b", "similarity"])
 
 
-class _Comparer:
-    """Exact similarities of pairs of texts, whose shingles are kept once they were needed."""
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures agree often enough."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ma", "mb"))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(
+            pa.array((a == b).sum(axis=1) >= LEAST_AGREEING))
 
-    def __init__(self, docs: DataFrame, texts: DataFrame):
-        self._docs, self._texts = docs, texts
-        self._known: DataFrame | None = None
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        pairs = materialized(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        if self._known is not None:
-            wanted = wanted.join(self._known.select("id"), "id", "left_anti")
+def _near_in_blocks(a: list[dict], b: list[dict], threshold: float) -> Iterator[tuple[int, int, float]]:
+    """Near pairs of texts of two blocks that are not in one component.
+
+    For texts without a repeated shingle the index is common / all shingles, for all pairs of
+    the blocks at once.  Of other pairs no more than the smaller shares of the common shingles
+    can count, and what could reach the threshold that way is computed one by one.
+    """
+    def columns(block: list[dict]) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray]:
+        hashes = [np.frombuffer(t["hashes"], "<u4") for t in block]
+        counts = [np.frombuffer(t["counts"], "<u4") for t in block]
+        owner = np.repeat(np.arange(len(block)), list(map(len, hashes)))
+        share = np.concatenate([c / max(1, c.sum()) for c in counts]) if block else np.zeros(0)
+        return hashes, counts, owner, np.concatenate(hashes), share
+
+    ha, ca, oa, xa, sa = columns(a)
+    hb, cb, ob, xb, sb = columns(b)
+    order = np.argsort(xb, kind="stable")
+    xb, ob, sb = xb[order], ob[order], sb[order]
+    low, high = np.searchsorted(xb, xa, side="left"), np.searchsorted(xb, xa, side="right")
+    size = high - low
+    at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+    pair, shape = np.repeat(oa, size) * len(b) + ob[at], (len(a), len(b))
+    common = np.bincount(pair, minlength=len(a) * len(b)).reshape(shape)
+    most = np.bincount(pair, np.minimum(np.repeat(sa, size), sb[at]), len(a) * len(b)).reshape(shape)
+    na, nb = (np.array(list(map(len, h))) for h in (ha, hb))
+    once_a, once_b = (np.array([bool((c == 1).all()) for c in counts]) for counts in (ca, cb))
+    plain = once_a[:, None] & once_b
+    index = np.where(plain, common / np.maximum(na[:, None] + nb - common, 1), most)
+    apart = np.array([t["component"] for t in a])[:, None] != np.array([t["component"] for t in b])
+    for i, j in np.argwhere(apart & (index >= threshold - 1e-9)).tolist():
+        value = index[i, j] if plain[i, j] else similarity(ha[i], ca[i], hb[j], cb[j])
+        if value >= threshold:
+            yield a[i]["id"], b[j]["id"], float(value)
+
+
+class _Comparer:
+    """The near ones of pairs of texts; pairs are compared once, and shingles kept once they were needed."""
+
+    def __init__(self, docs: DataFrame, texts: DataFrame, threshold: float):
+        self._docs, self._texts, self._threshold = docs, texts, threshold
+        self._sets: DataFrame | None = None
+        self._seen: DataFrame | None = None
+
+    def _know(self, ids: DataFrame) -> None:
+        """Have the shingles of these texts."""
+        wanted = ids.distinct()
+        if self._sets is not None:
+            wanted = wanted.join(self._sets.select("id"), "id", "left_anti")
         listed = self._texts.join(wanted, "id").select("id", "h1", "h2", "first_doc")
         found = _packed(self._docs).join(listed, F.col("doc_id").eqNullSafe(F.col("first_doc")))
         new = materialized(found.select("id", "h1", "h2", "body").mapInArrow(_sets, _SETS).dropDuplicates(["id"]), "sets")
-        self._known = new if self._known is None else self._known.unionByName(new)
-        side = lambda c: self._known.select(*[F.col(x).alias(y) for x, y in (
+        self._sets = new if self._sets is None else self._sets.unionByName(new)
+
+    def in_blocks(self, outside: DataFrame, members: DataFrame) -> DataFrame:
+        """Links between ``outside`` and ``members`` (key, id, component) of the same key and other components."""
+        threshold = self._threshold
+        self._know(members.select("id"))
+        counts = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+
+        def blocks(part: DataFrame, name: str) -> DataFrame:
+            dealt = part.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+            return dealt.join(self._sets, "id").groupBy("key", "block").agg(
+                F.collect_list(F.struct("id", "component", "hashes", "counts")).alias(name)).drop("block")
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
+                    found = list(_near_in_blocks(one.as_py(), two.as_py(), threshold))
+                    if found:
+                        a, b, value = zip(*found, strict=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(value, pa.float64())],
+                            ["a", "b", "similarity"])
+
+        # A row is two blocks, so few of them go to a worker at a time.
+        both = blocks(outside, "one").join(blocks(members, "two"), "key").select("one", "two")
+        found = both.mapInArrow(compare, "a bigint, b bigint, similarity double")
+        return materialized(found.dropDuplicates(["a", "b"]), "links")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        if self._seen is not None:
+            pairs = pairs.join(self._seen, ["a", "b"], "left_anti")
+        pairs = materialized(pairs, "pairs")
+        self._seen = pairs if self._seen is None else self._seen.unionByName(pairs)
+        mark = lambda c: self._texts.select(F.col("id").alias(c), F.col("marks").alias(f"m{c}"))
+        likely = materialized(
+            pairs.join(mark("a"), "a").join(mark("b"), "b").mapInArrow(_likely, "a bigint, b bigint"), "likely")
+
+        self._know(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))))
+        side = lambda c: self._sets.select(*[F.col(x).alias(y) for x, y in (
             ("id", c), ("hashes", f"{c}_hashes"), ("counts", f"{c}_counts"))])
-        return materialized(
-            pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify, "a bigint, b bigint, similarity double"),
-            "compared")
+        compared = likely.join(side("a"), "a").join(side("b"), "b").mapInArrow(
+            _verify, "a bigint, b bigint, similarity double")
+        return materialized(compared.filter(F.col("similarity") >= self._threshold), "links")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
-def _buckets(members: DataFrame, threshold_pivots: int, turn: int) -> DataFrame:
-    """(key, pivot) of every bucket with two texts or more."""
-    marks = [F.min(F.struct(F.xxhash64("id", F.lit(turn * 100 + k)).alias("mark"), "id")).alias(f"p{k}")
-             for k in range(threshold_pivots)]
-    found = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *marks).filter("size > 1")
-    pivots = F.array_distinct(F.array(*[F.col(f"p{k}.id") for k in range(threshold_pivots)]))
-    return found.select("key", F.explode(pivots).alias("pivot"))
+def _pivots(members: DataFrame, turn: int) -> DataFrame:
+    """(key, pivot, pivot_component): a few members of each bucket, by hashes that all buckets share."""
+    least = [F.min(F.struct(F.xxhash64("id", F.lit(100 * turn + k)), "id", "component")).alias(f"p{k}") for k in range(PIVOTS)]
+    found = members.groupBy("key").agg(*least)
+    chosen = F.array_distinct(F.array(*[
+        F.struct(F.col(f"p{k}.id").alias("id"), F.col(f"p{k}.component").alias("component")) for k in range(PIVOTS)]))
+    return found.select("key", F.explode(chosen).alias("p")).select(
+        "key", F.col("p.id").alias("pivot"), F.col("p.component").alias("pivot_component"))
+
+
+def _still_open(placed: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Members of the buckets that are not connected, those outside the bucket's largest
+    component, and how many pairs these make with the bucket's members."""
+    main = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("size"),
+    ).filter("kinds > 1").select("key", F.col("top.component").alias("main"), "size")
+    members = materialized(placed.join(main, "key"), "open")
+    outside = members.filter("component <> main")
+    pairs = outside.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return members.drop("main", "size"), outside.drop("main", "size"), pairs
 
 
 def links(docs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity >= threshold): enough links to connect whatever a band brings together.
+    """(a, b, similarity >= threshold): links that connect all that links between texts of a bucket connect.
 
-    After the pivots, a bucket is settled when its texts are connected.  Of the others, texts
-    outside the bucket's largest component meet all that they are not connected with, unless
-    the pivots' distances rule it out: distance is a metric, so |d(p, x) - d(p, y)| <= d(x, y).
+    Two texts of a bucket that are near but in no pair here are in one component all the same.
+    Pivots after the first round come from outside the bucket's largest component, and are then
+    done: they were compared with all texts that they are not connected with.
     """
-    compare = _Comparer(docs, texts)
+    compare = _Comparer(docs, texts, threshold)
     members = materialized(texts.select(F.explode("bands").alias("key"), "id"), "members")
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    members = materialized(members.join(shared, "key"), "members")
-    total = members.count()
-    compared: DataFrame | None = None
-    turn = 0
+    members = materialized(members.join(shared, "key").withColumn("component", F.col("id")), "members")
+    limit = max(1000, OPEN_PAIRS * texts.count())
+    found: DataFrame | None = None
+    outside, turn = members, 0
     while True:
-        pivots = _buckets(members, PIVOTS, turn)
-        pairs = _ordered(members.join(pivots, "key").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        new = compare(pairs)
-        compared = new if compared is None else compared.unionByName(new)
-        connected = materialized(components(compared.filter(F.col("similarity") >= threshold)), "components")
-        placed = members.join(connected, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        # The largest component of each bucket that has several.
-        main = sizes.groupBy("key").agg(
-            F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", "component")).alias("top")
-        ).filter("kinds > 1").select("key", F.col("top.component").alias("main"))
-        open_ = materialized(placed.join(main, "key"), "open")
-        size = open_.join(
-            open_.groupBy("key").agg(F.sum((F.col("component") != F.col("main")).cast("long")).alias("out"),
-                                     F.count(F.lit(1)).alias("all")), "key"
-        ).agg(F.coalesce(F.sum("out"), F.lit(0))).first()[0]
+        meet = members.join(_pivots(outside, turn), "key").filter("component <> pivot_component")
+        new = compare(_ordered(meet.select(F.col("pivot").alias("a"), F.col("id").alias("b"))))
+        found = new if found is None else found.unionByName(new)
+        connected = materialized(components(found.select("a", "b")), "components")
+        placed = members.drop("component").join(connected, "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
+        members, outside, open_pairs = _still_open(placed)
         turn += 1
-        if size <= OPEN_PAIRS * max(total, 1000):
+        if open_pairs <= limit or turn == ROUNDS:
             break
-        members = materialized(open_.select("key", "id"), "members")
-    if size:
-        left = open_.filter("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-        right = open_.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
-        pairs = _ordered(left.join(right, "key").filter("cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        far = _ruled_out(pairs, compared, 1 - threshold)
-        compared = compared.unionByName(compare(pairs.join(far, ["a", "b"], "left_anti")))
-    return compared.filter(F.col("similarity") >= threshold)
-
-
-def _ruled_out(pairs: DataFrame, compared: DataFrame, distance: float) -> DataFrame:
-    """Pairs whose distances from some third text differ by more than ``distance``."""
-    around = compared.select(F.col("a").alias("p"), F.col("b").alias("x"), "similarity").unionByName(
-        compared.select(F.col("b").alias("p"), F.col("a").alias("x"), "similarity"))
-    # A text has few pivots: those of its bands.
-    one = around.select(F.col("x").alias("a"), "p", F.col("similarity").alias("sa"))
-    two = around.select(F.col("x").alias("b"), "p", F.col("similarity").alias("sb"))
-    return pairs.join(one, "a").join(two, ["b", "p"]).filter(
-        F.abs(F.col("sa") - F.col("sb")) > distance + 1e-6).select("a", "b").distinct()
+    if open_pairs:
+        found = found.unionByName(compare.in_blocks(outside, members))
+    return found
 
 
 def _row_key() -> Column:
@@ -284,7 +360,8 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     rows = textops.documents(docs, "doc_id", "text")
     signed = materialized(rows.withColumn("key", _row_key()).mapInArrow(_sign, _SIGNED), "signatures")
     texts = materialized(
-        signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.first("bands").alias("bands"))
+        signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.first("bands").alias("bands"),
+                                     F.first("marks").alias("marks"))
         .withColumn("id", F.monotonically_increasing_id()), "texts")
     found = components(links(rows, texts, threshold).select("a", "b"))
     placed = texts.select("h1", "h2", "id", "first_doc").join(found, "id", "left").withColumn(
