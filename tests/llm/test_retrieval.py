@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -65,6 +66,55 @@ def test_copies_and_paraphrases_anywhere_in_long_texts(llm_spark, documents, cor
     assert not {d for d, _ in got if d >= 7000}
 
 
+def test_more_items_than_the_basis_has_room_for(llm_spark, corpus, monkeypatch):
+    """Copies are found however small a part of the items the basis holds."""
+    monkeypatch.setattr(decontamination, "RANK_MOST", 24)
+    rng = random.Random(7)
+    filler = " ".join(corpus.values()).split()
+    texts = [" ".join(rng.choice(filler) for _ in range(rng.randint(15, 59))) for _ in range(600)]
+    around = [[rng.choice(filler) for _ in range(120)] for _ in texts]
+    rows = [(k, " ".join([*a[:k % 120], t, *a[k % 120:]])) for k, (t, a) in enumerate(zip(texts, around, strict=True))]
+    clean = [(1000 + k, " ".join(rng.choice(filler) for _ in range(200))) for k in range(100)]
+    docs = llm_spark.createDataFrame(rows + clean, "doc_id bigint, text string")
+    index = decontamination.Index.build(docs, llm_spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string"))
+    assert len(index.by_basis) < len(texts)
+    got = {(r["doc_id"], r["item_id"]): r for r in decontamination.matches(docs, index).collect()}
+    assert set(got) == {(k, k) for k in range(len(texts))}
+    assert all(r["lcs_share"] == 1.0 and r["cosine"] >= decontamination.MIN_COSINE for r in got.values())
+    assert decontamination.without_items(docs, index).count() == len(clean)
+
+
+def test_rare_words_find_every_stretch_that_can_pass():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 30))) for _ in range(60)]
+    items = decontamination.Items(list(range(60)), [decontamination.word_hashes(*textops.utf8(pa.array([t])))[0] for t in texts], [])
+    chosen = np.arange(0, 60, 2)
+    rare = decontamination.RareWords.of(items, chosen, lambda w: w % np.uint64(7))
+    docs = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(0, 90))) for _ in range(40)] + texts
+    data, offsets = textops.utf8(pa.array(docs))
+    hashes, doc = decontamination.word_hashes(data, offsets)
+    bounds = np.searchsorted(doc, np.arange(len(offsets)))
+    for limit in (1 << 22, 50):
+        decontamination_limit, decontamination.PAIRS_AT_A_TIME = decontamination.PAIRS_AT_A_TIME, limit
+        try:
+            regions = list(zip(*(c.tolist() for c in rare.regions(hashes, doc, bounds)), strict=True))
+        finally:
+            decontamination.PAIRS_AT_A_TIME = decontamination_limit
+        for begin, end, k in regions:
+            assert k in chosen and doc[begin] == doc[end - 1]
+        for k in chosen.tolist():
+            item, reach = items.words[k].tolist(), int(rare.reach[k])
+            own = [(b, e) for b, e, i in regions if i == k]
+            for d in range(len(docs)):
+                for at in range(bounds[d], bounds[d + 1]):
+                    stretch = hashes[at:min(at + reach, bounds[d + 1])].tolist()
+                    if decontamination.common_subsequence(item, stretch) >= decontamination.PARAPHRASE_SHARE * len(item):
+                        assert any(b <= at and at + len(stretch) <= e for b, e in own) or any(
+                            b < at + len(stretch) and at < e and decontamination.common_subsequence(
+                                item, hashes[max(b, at):min(e, at + len(stretch))].tolist())
+                            >= decontamination.PARAPHRASE_SHARE * len(item) for b, e in own)
+
+
 def test_matches_of_odd_rows(odd, nothing, documents, benchmark):
     index = decontamination.Index.build(documents, benchmark)
     assert decontamination.matches(odd, index).count() == 0
