@@ -4,7 +4,8 @@ The library splits a text into pre-tokens and merges inside each one only, so th
 ids of a text are the ids of its parts in a row, as long as parts end where
 pre-tokens end.  Texts of Latin letters are cut into such parts with numpy; each
 different part goes through the library once per worker and is kept in a table of
-bounded size.  Any other text goes through the library as a whole.
+bounded size.  Any other text goes through the library as a whole, and so does one
+that holds the content of an added token, which the library finds before it splits.
 """
 
 from __future__ import annotations
@@ -84,11 +85,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         normal, split = str(self._tokenizer.normalizer), str(self._tokenizer.pre_tokenizer)
         #: White space ends pre-tokens and has no ids itself, and capitals do not matter.
         self._drops_space = "Lowercase" in normal and "Split(" in split and "Removed" in split
         self._byte_level = self._tokenizer.normalizer is None and "Split(" not in split and "use_regex=True" in split
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content.encode() for t in added if t.content]
+        if any(t.normalized for t in added):  # these are found in the normalised text
+            self._drops_space = self._byte_level = False
         self._table = _Table()
 
     def whole(self, text: str) -> np.ndarray:
@@ -124,13 +128,28 @@ class Encoder:
         begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         return begins
 
-    def parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of the parts of all texts."""
+    def _with_added(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Texts that hold the content of an added token."""
+        found = []
+        for content in self._added:
+            at = raw.find(content)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, side="right")) - 1
+                if at + len(content) <= offsets[text + 1]:
+                    found.append(text)
+                    at = raw.find(content, int(offsets[text + 1]))
+                else:
+                    at = raw.find(content, at + 1)
+        return np.unique(np.array(found, np.int64))
+
+    def parts(self, data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the parts of all texts; the texts ``whole`` are one part each."""
         kinds = _classes(data)
         full = np.flatnonzero(offsets[:-1] < offsets[1:])
         if self._drops_space or self._byte_level:
             starts = np.flatnonzero(self._cuts(kinds, data, offsets))
             foreign = np.unique(np.searchsorted(offsets, np.flatnonzero(kinds == _FOREIGN), side="right") - 1)
+            foreign = np.union1d(foreign, whole)
         else:
             starts, foreign = offsets[:-1][full], full
         ends = np.append(starts[1:], len(data))
@@ -147,16 +166,20 @@ class Encoder:
         """Ids of all texts in a row, and where each text's ids begin (n + 1 offsets)."""
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        starts, ends = self.parts(data, offsets)
+        raw = data.tobytes()
+        added = self._with_added(raw, offsets)
+        starts, ends = self.parts(data, offsets, added)
         plain = _ASCII_LOWER[data] if self._drops_space else data
         keys = textops.Rolling(plain).ranges(starts, ends)
+        if len(added):  # capitals matter to added tokens
+            own = np.isin(starts, offsets[:-1][added])
+            keys[own] = textops.mix(~textops.Rolling(data).ranges(starts[own], ends[own]))
         keys, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         numbers = keys.tolist()
         found = list(map(self._table.get, numbers))
         for i in [i for i, ids in enumerate(found) if ids is None]:
             found[i] = self._table.old(numbers[i])
         new = [i for i, ids in enumerate(found) if ids is None]
-        raw = data.tobytes()
         texts = [raw[starts[first[i]]:ends[first[i]]] for i in new]
         for i, text, encoding in zip(new, texts, self._tokenizer.encode_batch(
                 [t.decode() for t in texts], add_special_tokens=False), strict=True):

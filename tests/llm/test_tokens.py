@@ -34,6 +34,40 @@ def test_parts_give_the_ids_of_the_library(name, corpus):
     assert seen == len(texts)
 
 
+ADDED = [
+    "Models end with <|endoftext|> here.", "<|endoftext|>", "<|ENDOFTEXT|>", "", "a <|endof", "text|> b", "<|startoftext|>a b",
+    "漢 <|ENDOFTEXT|>", "漢 <|endoftext|>", "漢 <|EndOfText|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext|", "plain text  here",
+    " <|endoftext|> ", "PLAIN <|endoftext|> It's", "plain <|endoftext|> it's",
+]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_added_tokens_are_found_as_by_the_library(name):
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(public_tokenizers.path(name)), tokenizing.Encoder(public_tokenizers.path(name))
+    for texts in (ADDED, ADDED[::-1], [t for t in ADDED for _ in range(2)], *[[t] for t in ADDED]):
+        ids, at = encoder.encode(*textops.utf8(pa.array(texts)))
+        for i, text in enumerate(texts):
+            assert ids[at[i]:at[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert len(library.encode(ADDED[1], add_special_tokens=False).ids) == 1
+
+
+def test_tables_with_added_tokens(llm_spark):
+    from tokenizers import Tokenizer
+
+    docs = llm_spark.createDataFrame(list(enumerate(ADDED)), "doc_id bigint, text string")
+    lone = [Tokenizer.from_file(public_tokenizers.path(name)) for name in FILES]
+    start = 0
+    for row in sorted(token_files.token_file_digest(docs, public_tokenizers.path(FILES[0])).collect()):
+        ids = np.array([*lone[0].encode(ADDED[row["doc_id"]], add_special_tokens=False).ids, 2], "<u4")
+        assert tuple(row) == (row["doc_id"], start, len(ids), zlib.crc32(ids))
+        start += len(ids)
+    for row in packing.pack_documents(docs, public_tokenizers.path(FILES[1])).collect():
+        ids = np.array([*lone[1].encode(ADDED[row["doc_id"]], add_special_tokens=False).ids, 0], "<u4")
+        assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(ids))
+
+
 def test_the_table_of_parts_stays_bounded(monkeypatch):
     monkeypatch.setattr(tokenizing, "ENTRIES", 10)
     table = tokenizing._Table()
