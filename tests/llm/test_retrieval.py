@@ -84,6 +84,19 @@ def test_more_items_than_the_basis_has_room_for(llm_spark, corpus, monkeypatch):
     assert decontamination.without_items(docs, index).count() == len(clean)
 
 
+def test_long_items(llm_spark, documents, corpus):
+    """The copy of an item is found whatever its length, though no passage is near to all of it."""
+    rng = random.Random(9)
+    filler = sorted(set(" ".join(corpus.values()).split()))
+    texts = [" ".join(rng.sample(filler, n)) for n in (40, 90, 100, 200, 400, 900, 1500, 2500) for _ in range(3)]
+    rows = [(9000 + k, " ".join([*rng.choices(filler, k=70), t, *rng.choices(filler, k=70)])) for k, t in enumerate(texts)]
+    docs = llm_spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = llm_spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    index = decontamination.Index.build(documents.select("doc_id", "text").unionByName(docs), items)
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.matches(docs, index).collect()}
+    assert got == {(9000 + k, k) for k in range(len(texts))}
+
+
 def test_rare_words_find_every_stretch_that_can_pass():
     rng = random.Random(8)
     texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 30))) for _ in range(60)]
