@@ -84,6 +84,15 @@ def test_more_items_than_the_basis_has_room_for(llm_spark, corpus, monkeypatch):
     assert decontamination.without_items(docs, index).count() == len(clean)
 
 
+def test_frequency_counts_half_passages(llm_spark):
+    texts = ["so " * 100 + "it goes", "so it goes " * 9, "", None, "it"]
+    items = decontamination.Items([0], [np.array(words("so it goes"), np.uint64)], [])
+    features = decontamination.Features.of(items)
+    docs = llm_spark.createDataFrame([(t,) for t in texts], "text string")
+    frequency, n = decontamination.document_frequency(docs, features)
+    assert frequency[features(items.words[0])].tolist() == [5 + 2, 1 + 2 + 1, 1 + 2] and n == 5 + 2 + 1
+
+
 def test_long_items(llm_spark, documents, corpus):
     """The copy of an item is found whatever its length, though no passage is near to all of it."""
     rng = random.Random(9)
