@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from fundtide.llm import (
     decontamination,
     language,
+    merkle,
     near_dedup,
     packing,
     quality_model,
     quality_rules,
     revisits,
+    sql,
     suffix_dedup,
     token_files,
     toxicity,
+    variants,
 )
 from fundtide.sources.workspace import materialized
 
@@ -51,15 +54,15 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
-def _query(key: str, sql: str | None = None):
+def _query(key: str, oracle: str | None = None):
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
             return build(spark, sf_dir)
 
         QUERIES[key] = run
-        if sql is not None:
-            ORACLES[key] = sql
+        if oracle is not None:
+            ORACLES[key] = oracle
         return build
 
     return register
@@ -121,6 +124,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(docs, decontamination.Index.build(docs, _table(spark, sf_dir, "benchmark")))
 
 
+@_query("op11_variants", sql.VARIANTS_SQL)
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(variants.vocabulary(_table(spark, sf_dir, "documents")))
+
+
+@_query("op12_merkle", sql.MERKLE_SQL)
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_tampered(_table(spark, sf_dir, "documents"))
+
+
 @_query("op6_revisits", """
 WITH page AS (
   SELECT page_id, url, md5(html) AS digest, CAST(length(html) AS VARCHAR) AS size, page_id * 60 AS fetched,
