@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundtide.llm import (
     decontamination,
+    hmm,
     language,
     merkle,
     near_dedup,
@@ -134,6 +135,11 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_tampered(_table(spark, sf_dir, "documents"))
 
 
+@_query("op13_lm_score")
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(_table(spark, sf_dir, "documents"))
+
+
 @_query("op6_revisits", """
 WITH page AS (
   SELECT page_id, url, md5(html) AS digest, CAST(length(html) AS VARCHAR) AS size, page_id * 60 AS fetched,
