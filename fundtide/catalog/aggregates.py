@@ -45,7 +45,7 @@ def multi_period_return(spark, sf_dir):
     "i:avg_volume i:trading_days f:total_return"))
 def stock_metrics(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    return returns.stock_metrics(m.stock_prices, m.clock)
+    return returns.stock_metrics(m.stored_stock_prices, m.stored_clock)
 
 
 @query("sector_summary_7d", sql(EV, f"""
@@ -56,7 +56,7 @@ FROM stock_prices WHERE trade_date >= {AS_OF} - 7 GROUP BY sector""",
     "sector f:avg_change_pct i:row_count i:stock_count i:total_volume d:latest_date is_trending"))
 def sector_summary_7d(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    return boards.sector_summary(m.stock_prices, m.clock)
+    return boards.sector_summary(m.stored_stock_prices, m.stored_clock)
 
 
 @query("sector_point_in_time", sql(EV + f"""
@@ -167,7 +167,7 @@ FROM stock_prices WHERE trade_date >= {AS_OF} - 13 GROUP BY sector ORDER BY cum_
     "sector f:cum_return f:benchmark_cum_return"))
 def sector_sum_change(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    return boards.sector_change_sums(m.stock_prices, m.fund_prices, m.benchmark, m.clock, 10)
+    return boards.sector_change_sums(m.stored_stock_prices, m.stored_fund_prices, m.benchmark, m.stored_clock, 10)
 
 
 _MONTH_START = f"CAST(date_trunc('month', {AS_OF}) AS DATE)"
@@ -180,7 +180,7 @@ GROUP BY ticker, company_name, sector ORDER BY avg_change DESC, ticker LIMIT 10"
     "ticker company_name sector f:avg_change"))
 def mtd_top_equal_weight(spark, sf_dir):
     m = line_market(spark, sf_dir)
-    return boards.mtd_top_equal_weight(m.stock_prices, m.clock)
+    return boards.mtd_top_equal_weight(m.stored_stock_prices, m.stored_clock)
 
 
 def _leaders_sql(scope: str, condition: str) -> str:
@@ -202,8 +202,8 @@ def _leaders_sql(scope: str, condition: str) -> str:
     "scope i:year i:month ticker company_name sector f:avg_monthly_return is_trending"))
 def sector_leader_mtd(spark, sf_dir):
     m = line_market(spark, sf_dir)
-    month = boards.sector_leaders(m.stock_prices, m.clock).withColumn("scope", F.lit("mtd"))
-    history = boards.sector_leaders(m.stock_prices, m.clock, month_to_date=False).withColumn("scope", F.lit("htd"))
+    month = boards.sector_leaders(m.stored_stock_prices, m.stored_clock).withColumn("scope", F.lit("mtd"))
+    history = boards.sector_leaders(m.stored_stock_prices, m.stored_clock, only_month=False).withColumn("scope", F.lit("htd"))
     return month.unionByName(history)
 
 

@@ -19,7 +19,7 @@ from fundtide.sources.workspace import materialized
     "ticker company_name sector d:trade_date f:close_price f:price_change_percent i:volume i:market_cap"))
 def filter_trailing_days(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    return filters.trailing_days(m.stock_prices, m.clock, 7).select(
+    return filters.trailing_days(m.stored_stock_prices, m.stored_clock, 7).select(
         "ticker", "company_name", "sector", "trade_date", "close_price", "price_change_percent", "volume", "market_cap"
     )
 

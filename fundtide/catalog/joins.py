@@ -117,7 +117,7 @@ def holdings_meta_metrics(spark, sf_dir):
     m = event_market(spark, sf_dir)
     pairs = latest_per_key(m.holdings, ["etf_ticker", "holding_ticker"], "as_of_date")
     metrics = returns.stock_metrics(m.stock_prices, m.clock)
-    return joins.holdings_meta_metrics(pairs, m.fund_meta, metrics).select(
+    return joins.holdings_meta_metrics(pairs, m.held_fund_meta, metrics).select(
         "etf_ticker", "etf_type", "sector_name", "holding_ticker", "holding_percent", "period_days", "avg_return",
         "total_return", "volatility", "trading_days",
     )
@@ -172,12 +172,12 @@ _SNAPSHOT = "SELECT * FROM holdings QUALIFY rank() OVER (PARTITION BY etf_ticker
     LI, _SNAPSHOT, "etf_ticker holding_ticker holding_name f:holding_percent i:holding_shares f:holding_value "
     "d:as_of_date"))
 def latest_snapshot_join(spark, sf_dir):
-    return joins.latest_snapshot(line_market(spark, sf_dir).holdings).drop("source")
+    return line_market(spark, sf_dir).snapshot.drop("source", "arrival")
 
 
 @query("holdings_left_mcap_returns", sql(EV + f"""
 snapshot AS ({_SNAPSHOT}),
-recent AS (SELECT * FROM stock_prices WHERE trade_date >= {AS_OF} - 1),
+recent AS (SELECT * FROM stock_prices WHERE trade_date >= {AS_OF} - 20),
 caps AS ({latest_sql('recent', 'ticker', 'trade_date')}),
 gains AS ({point_returns_sql('recent')}),
 """, """SELECT etf_ticker, holding_ticker, COALESCE(holding_name, company_name) AS holding_name, market_cap,
@@ -186,13 +186,7 @@ FROM snapshot LEFT JOIN caps ON caps.ticker = holding_ticker LEFT JOIN gains ON
     "etf_ticker holding_ticker holding_name f:market_cap trade_date f:holding_return_pct"))
 def holdings_left_mcap_returns(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    recent = since(m.stock_prices, m.clock, 1)
-    caps = latest_per_key(
-        recent.select("ticker", "company_name", "market_cap", "trade_date"), ["ticker"], "trade_date"
-    )
-    out = joins.holdings_left_mcap_returns(
-        joins.latest_snapshot(m.holdings), caps, returns.point_return(recent)
-    )
+    out = joins.holdings_left_mcap_returns(m.snapshot, returns.latest_and_return(since(m.stock_prices, m.clock, 20)))
     return out.select(
         "etf_ticker", "holding_ticker", "holding_name", F.col("market_cap").cast("double").alias("market_cap"),
         F.coalesce(F.col("trade_date").cast("string"), F.lit("none")).alias("trade_date"), "holding_return_pct",

@@ -71,7 +71,7 @@ usable AS (SELECT * FROM told QUALIFY holding_percent IS NOT NULL OR count(holdi
 SELECT *, row_number() OVER (PARTITION BY etf_ticker ORDER BY holding_percent DESC NULLS LAST, arrival, holding_ticker) AS rank
 FROM usable QUALIFY rank <= 3""", "etf_ticker holding_ticker f:holding_percent d:as_of_date i:rank"))
 def top_k_by_weight(spark, sf_dir):
-    snapshot = joins.latest_snapshot(line_market(spark, sf_dir).holdings_as_they_came)
+    snapshot = line_market(spark, sf_dir).snapshot
     fund, name = F.col("etf_ticker").cast("bigint") % 3, F.col("holding_ticker").cast("bigint") % 2
     told = F.when((fund == 2) | ((fund == 1) & (name == 1)), F.col("holding_percent"))
     return ranking.top_by_weight(snapshot.withColumn("holding_percent", told), 3, arrival="arrival").select(
@@ -198,7 +198,7 @@ def _snapshot_with_caps(spark, sf_dir):
         windows.since(m.stock_prices, m.clock, 30).select("ticker", "trade_date", "market_cap"),
         ["ticker"], "trade_date",
     ).select(F.col("ticker").alias("holding_ticker"), "market_cap")
-    return joins.latest_snapshot(m.holdings).join(caps, "holding_ticker", "left")
+    return m.newest_pairs.join(caps, "holding_ticker", "left")
 
 
 @query("mcap_rank_nulls_last", sql(_WITH_CAPS, """

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 
 class Clock:
-    """The newest day of a table: one value from one column, looked up on first use."""
+    """The newest day of a table: one value from one column, looked up on first use.
+
+    Of a table partitioned by ``trade_month`` only the newest month is opened.
+    """
 
     def __init__(self, rows: DataFrame, day: Column):
         self._rows = rows
@@ -24,7 +27,10 @@ class Clock:
 
     @cached_property
     def newest(self) -> date | None:
-        return self._rows.agg(F.max(self._day).alias("newest")).first()["newest"]
+        rows = self._rows
+        if "trade_month" in rows.columns:
+            rows = rows.filter(F.col("trade_month") == F.lit(rows.agg(F.max("trade_month")).first()[0]))
+        return rows.agg(F.to_date(F.max(self._day)).alias("newest")).first()["newest"]
 
 
 def _literal(as_of, back: int) -> date | None:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions.columns import is_trending
-from fundtide.functions.dates import day, month
+from fundtide.functions.dates import day
 from fundtide.operators.ranking import global_rank
 from fundtide.operators.returns import calendar_periods, point_return
-from fundtide.operators.windows import latest_per_key, since, top_k_per_group
+from fundtide.operators.windows import latest_per_key, month_to_date, since, top_k_per_group
 from fundtide.sources.workspace import materialized
 
 #: Names that one row may list, and columns that a matrix may have.
@@ -87,13 +87,13 @@ def mtd_top_equal_weight(stocks: DataFrame, as_of, k: int = 10) -> DataFrame:
         return part.groupBy("ticker", "company_name", "sector").agg(F.avg("price_change_percent").alias("avg_change"))
 
     # One row per ticker, written once: whether there is any decides if the history is read at all.
-    found = materialized(averages(rows.filter(F.col("trade_date") >= month(as_of))), "month-averages")
+    found = materialized(averages(month_to_date(rows, as_of)), "month-averages")
     if found.isEmpty():
         found = averages(rows)
     return found.orderBy(F.col("avg_change").desc(), "ticker").limit(k)
 
 
-def sector_leaders(stocks: DataFrame, as_of, k: int = 10, month_to_date: bool = True) -> DataFrame:
+def sector_leaders(stocks: DataFrame, as_of, k: int = 10, only_month: bool = True) -> DataFrame:
     """Best stock by average change in each rising sector.
 
     Sectors with a positive average, best ``k`` first; the best ``k`` of all when
@@ -101,8 +101,8 @@ def sector_leaders(stocks: DataFrame, as_of, k: int = 10, month_to_date: bool =
     """
     end = day(as_of)
     rows = _market_rows(stocks)
-    if month_to_date:
-        rows = rows.filter(F.col("trade_date") >= month(as_of))
+    if only_month:
+        rows = month_to_date(rows, as_of)
     # The rows are read once; sector averages come from the per-ticker sums.
     tickers = materialized(
         rows.groupBy("ticker", "company_name", "sector").agg(

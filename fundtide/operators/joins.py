@@ -96,25 +96,15 @@ def latest_snapshot(holdings: DataFrame) -> DataFrame:
     """All holdings of every fund's newest snapshot.
 
     The newest date per fund is aggregated first (partial on the map side), so a
-    fund holding much of the table is never gathered in one window.
+    fund holding much of the table is never gathered in one window.  Where positions come
+    from trades, ``Book`` picks the snapshot by its totals, without a second read.
     """
     newest = holdings.groupBy("etf_ticker").agg(F.max("as_of_date").alias("as_of_date"))
     return holdings.join(newest, ["etf_ticker", "as_of_date"])
 
 
-def holdings_left_mcap_returns(holdings: DataFrame, market_caps: DataFrame, returns: DataFrame) -> DataFrame:
-    """Holdings with market cap and return where known."""
-    caps = market_caps.select(
-        F.col("ticker").alias("holding_ticker"), "company_name", "market_cap", "trade_date"
-    )
-    gains = returns.select(F.col("ticker").alias("holding_ticker"), F.col("return_pct").alias("holding_return_pct"))
-    return holdings.join(caps, "holding_ticker", "left").join(gains, "holding_ticker", "left").withColumn(
-        "holding_name", F.coalesce("holding_name", "company_name")
-    )
-
-
-def holdings_left_stocks(holdings: DataFrame, stocks: DataFrame) -> DataFrame:
-    """As :func:`holdings_left_mcap_returns`, with both taken from ``latest_and_return``."""
+def holdings_left_mcap_returns(holdings: DataFrame, stocks: DataFrame) -> DataFrame:
+    """Holdings with market cap and return where known; ``stocks`` is what ``latest_and_return`` gives."""
     known = stocks.select(
         F.col("ticker").alias("holding_ticker"), "company_name", "market_cap", "trade_date",
         F.col("return_pct").alias("holding_return_pct"),

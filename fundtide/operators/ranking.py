@@ -52,16 +52,16 @@ def top_by_weight(holdings: DataFrame, k: int, group: str = "etf_ticker", arriva
     """Top ``k`` holdings per fund by percent; equal ones in the order of ``arrival``, then by ticker.
 
     A holding without percent is left out, unless no holding of the fund has one: then the
-    order of arrival alone counts.
+    order of arrival alone counts.  The input is read once: holdings with and without percent
+    are cut to ``k`` each, and which of the two counts is told from those few.
     """
     named = holdings.filter(F.col("holding_ticker").isNotNull() & (F.col("holding_ticker") != ""))
-    # One row per fund: whether any holding has a percent.
-    told = named.groupBy(F.col(group).alias("_fund")).agg(
-        F.max(F.col("holding_percent").isNotNull().cast("int")).alias("_told"))
-    usable = named.join(told, F.col(group).eqNullSafe(F.col("_fund"))).filter(
-        (F.col("_told") == 0) | F.col("holding_percent").isNotNull()).drop("_fund", "_told")
     order = [F.col("holding_percent").desc_nulls_last(), *([F.col(arrival)] if arrival else []), F.col("holding_ticker")]
-    return top_k_per_group(usable, [group], order, k)
+    told = named.withColumn("_told", F.col("holding_percent").isNotNull())
+    few = top_k_per_group(told, [group, "_told"], order, k)
+    # At most 2k rows of a fund are left.
+    known = F.max("_told").over(Window.partitionBy(group))
+    return few.withColumn("_known", known).filter(F.col("_told") == F.col("_known")).drop("_told", "_known")
 
 
 def market_cap_rank(

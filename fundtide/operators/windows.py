@@ -174,3 +174,9 @@ def since(bars: DataFrame, as_of, days: int, date: str = "trade_date") -> DataFr
     if "trade_month" in bars.columns:
         kept = kept.filter(F.col("trade_month") >= month(as_of, days))
     return kept
+
+
+def month_to_date(bars: DataFrame, as_of, date: str = "trade_date") -> DataFrame:
+    """Rows from the first day of the month of ``as_of`` on; of a stored table only its newest months are opened."""
+    kept = bars.filter(F.col(date) >= month(as_of))
+    return kept.filter(F.col("trade_month") >= month(as_of)) if "trade_month" in bars.columns else kept

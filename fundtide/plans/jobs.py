@@ -154,14 +154,17 @@ def monthly_rebalance(
 def trending_top_holdings_board(
     fund_prices: DataFrame,
     stocks: DataFrame,
-    holdings: DataFrame,
+    snapshot: DataFrame,
     as_of,
     days: int = 20,
     k: int = 5,
     benchmark: str = settings.MAIN_BENCHMARK,
     benchmark_funds: Sequence[str] = settings.BENCHMARK_FUNDS,
 ) -> DataFrame:
-    """Largest holdings of every benchmark and trending fund, with fund and stock returns."""
+    """Largest holdings of every benchmark and trending fund, with fund and stock returns.
+
+    ``snapshot`` has the holdings of each fund's newest snapshot (``latest_snapshot``).
+    """
     fund_gain = materialized(
         returns.point_return(
             since(fund_prices, as_of, days).select("ticker", "trade_date", "close_price")
@@ -178,11 +181,9 @@ def trending_top_holdings_board(
         F.coalesce(beats, F.lit(False)).alias("is_trending"),
     ).filter(F.col("is_benchmark") | F.col("is_trending"))
 
-    held = joins.latest_snapshot(
-        holdings.select("etf_ticker", "holding_ticker", "holding_name", "as_of_date")
-    ).join(targets, "etf_ticker")
+    held = snapshot.select("etf_ticker", "holding_ticker", "holding_name", "as_of_date").join(targets, "etf_ticker")
     known = returns.latest_and_return(since(stocks, as_of, days))
-    board = joins.holdings_left_stocks(held, known)
+    board = joins.holdings_left_mcap_returns(held, known)
     return ranking.market_cap_rank(board, k).select(
         "etf_ticker", "etf_return_pct", "is_benchmark", "is_trending", "holding_ticker", "holding_name",
         "market_cap", "trade_date", "as_of_date", "mcap_rank", "holding_return_pct",
@@ -272,13 +273,16 @@ def fund_holdings_view(
 
 
 def collection_worklist(
-    trending: DataFrame, holdings: DataFrame, stocks: DataFrame, as_of, k: int = settings.TOP_HOLDINGS
+    trending: DataFrame, snapshot: DataFrame, stocks: DataFrame, as_of, k: int = settings.TOP_HOLDINGS
 ) -> DataFrame:
-    """Stocks still to collect: top holdings of the trending funds without a bar on the day."""
+    """Stocks still to collect: top holdings of the trending funds without a bar on the day.
+
+    ``snapshot`` has the holdings of each fund's newest snapshot (``latest_snapshot``).
+    """
     end = day(as_of)
-    snapshot = joins.latest_snapshot(filters.in_set(holdings, trending.filter("is_trending"), "etf_ticker"))
+    held = filters.in_set(snapshot, trending.filter("is_trending"), "etf_ticker")
     top = top_k_per_group(
-        snapshot, ["etf_ticker"],
+        held, ["etf_ticker"],
         [F.col("holding_percent").desc_nulls_last(), F.col("holding_ticker"), F.col("holding_name")], k, "_n",
     )
     given = F.when(F.col("holding_ticker") != "", F.col("holding_ticker"))

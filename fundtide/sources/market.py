@@ -26,7 +26,10 @@ from pyspark.sql.types import StructType
 
 from fundtide.functions.columns import lookup, minor_units, rounded
 from fundtide.functions.dates import Clock, day
+from fundtide.operators.positions import Book
 from fundtide.operators.windows import daily_change
+from fundtide.sources.stored_bars import CHANGE, StoredBars
+from fundtide.sources.workspace import kept_folder, version
 
 # The sector each sector fund of the event market stands for.
 EVENT_FUND_SECTORS = {"click": "S0", "error": "S1", "purchase": "S2", "signup": "S3"}
@@ -44,15 +47,18 @@ class Market:
         fund_prices: Frame,
         stock_prices: Frame,
         positions: Frame,
-        holdings: Callable[[DataFrame], DataFrame],
+        book: Callable[[], Book],
+        describe: Callable[[DataFrame], DataFrame],
         benchmark: str,
         benchmark_funds: tuple[str, ...],
         clock: Clock,
+        facts: tuple[SparkSession, str, str] | None,
     ):
+        self._facts = facts
         self._build = dict(
-            fund_meta=fund_meta, fund_prices=fund_prices, stock_prices=stock_prices, positions=positions
+            fund_meta=fund_meta, fund_prices=fund_prices, stock_prices=stock_prices, positions=positions, book=book
         )
-        self._describe = holdings
+        self._describe = describe
         self.clock = clock
         self.benchmark = benchmark
         self.benchmark_funds = benchmark_funds
@@ -69,25 +75,86 @@ class Market:
     def stock_prices(self) -> DataFrame:
         return self._build["stock_prices"]()
 
+    @cached_property
+    def stored_fund_prices(self) -> DataFrame:
+        """As ``fund_prices``, from the table with the stored change, with ``trade_month``."""
+        return self._stored("fund-bars", "fund_prices")
+
+    @cached_property
+    def stored_stock_prices(self) -> DataFrame:
+        """As ``stock_prices``, from the table with the stored change, with ``trade_month``."""
+        return self._stored("stock-bars", "stock_prices")
+
+    @cached_property
+    def stored_clock(self) -> Clock:
+        """The newest day of the stored bars."""
+        return Clock(self.stored_stock_prices, F.col("trade_date"))
+
+    def _stored(self, name: str, bars: str) -> DataFrame:
+        if self._facts is None:
+            raise ValueError("a market of the last days only has no stored history")
+        return stored(*self._facts, name, self._build[bars])
+
     @cached_property
     def positions(self) -> DataFrame:
         """Holdings without percent and name, for jobs that need only the pairs."""
         return self._build["positions"]()
 
+    @cached_property
+    def book(self) -> Book:
+        """Positions and totals of all snapshots: the trades are read once, when first asked for."""
+        return self._build["book"]()
+
     @cached_property
     def holdings(self) -> DataFrame:
-        return self._describe(self.positions)
+        return self._describe(self.book.with_share("value_cents")).drop("arrival")
+
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        """Holdings of every fund's newest snapshot, with ``arrival``, the number of the first raw row of each."""
+        return self._describe(self.book.with_share("value_cents", newest=True))
+
+    @cached_property
+    def newest_pairs(self) -> DataFrame:
+        """(etf_ticker, holding_ticker, as_of_date) of every fund's newest snapshot, without percent and name."""
+        held = self.book.positions.join(self.book.newest(), [self.book.fund, self.book.snapshot])
+        return held.select(
+            F.col(self.book.fund).cast("string").alias("etf_ticker"),
+            F.col(self.book.stock).cast("string").alias("holding_ticker"), "as_of_date")
 
     @cached_property
-    def holdings_as_they_came(self) -> DataFrame:
-        """Holdings with ``arrival``, the number of the first raw row of each."""
-        return self._describe(self._build["positions"](arrival=True))
+    def held_fund_meta(self) -> DataFrame:
+        """Metadata of the funds in the book, without another read of the trades."""
+        names = self.book.totals.select(F.col(self.book.fund).cast("string").alias("ticker")).distinct()
+        return self._build["fund_meta"](names)
 
     def as_of(self, days_back: int = 0) -> Column:
         """Newest trade date minus ``days_back``."""
         return day(self.clock, days_back)
 
 
+#: (version of the facts, table) by session, facts and name.
+_stored: dict[tuple, tuple[tuple, StoredBars]] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, facts: str, name: str, bars: Frame) -> DataFrame:
+    """The bars of a market from a table with a stored change, by month.
+
+    The table is made from the facts on first use and again when their files have changed;
+    trailing queries then read their months and no raw row.  A collector would keep it with
+    ``StoredBars.upsert``.
+    """
+    path = f"{sf_dir}/{facts}.parquet"
+    key = (spark.sparkContext.applicationId, path, name)
+    state = version(spark, path)
+    if _stored.get(key, (None, None))[0] != state:
+        rows = bars().drop(CHANGE)
+        table = StoredBars(spark, kept_folder(spark, name), rows.schema)
+        table.create(rows)
+        _stored[key] = (state, table)
+    return _stored[key][1].bars()
+
+
 @cache
 def _schema_of(spark: SparkSession, path: str) -> StructType:
     """Schema of a table, read from its footers once per session."""
@@ -107,22 +174,12 @@ def _since(raw: DataFrame, ts: str, clock: Clock, last_days: int | None) -> Data
 
 
 def _clock_of(spark: SparkSession, sf_dir: str, table: str, ts: str) -> Clock:
-    return Clock(load(spark, sf_dir, table), F.to_date(ts))
-
-
-def _with_share(positions: DataFrame, totals: DataFrame) -> DataFrame:
-    """Position value as percent of its fund's snapshot.
-
-    A snapshot of one fund can be a large part of the table, so its total is
-    aggregated from the raw rows and joined, not computed in a window over the group.
-    """
-    return positions.join(totals, ["etf_ticker", "as_of_date"]).withColumn(
-        "holding_percent", F.try_divide(F.col("value_cents"), F.col("total_cents")) * F.lit(100.0)
-    )
+    return Clock(load(spark, sf_dir, table), F.col(ts))
 
 
-def _arrival(wanted: bool) -> list[Column]:
-    return [F.min("seq").alias("arrival")] if wanted else []
+def _measures() -> list[Column]:
+    """What a position has besides its value; ``arrival`` is the number of its first raw row."""
+    return [F.sum("volume").alias("holding_shares"), F.min("seq").alias("arrival")]
 
 
 def event_ticks(
@@ -185,34 +242,39 @@ def event_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
             F.sum("volume").alias("volume"),
         ))
 
-    def fund_meta() -> DataFrame:
-        return events.select(F.col("event_type").alias("ticker")).distinct().select(
+    def fund_meta(names: DataFrame | None = None) -> DataFrame:
+        if names is None:
+            names = events.select(F.col("event_type").alias("ticker")).distinct()
+        return names.select(
             "ticker",
             F.when(F.col("ticker") == "view", "benchmark").otherwise("sector").alias("etf_type"),
             lookup(F.col("ticker"), EVENT_FUND_SECTORS).alias("sector_name"),
         )
 
-    def positions(arrival: bool = False) -> DataFrame:
-        held = ticks().groupBy(
+    def positions() -> DataFrame:
+        return ticks().groupBy(
             F.col("fund").alias("etf_ticker"), "user_id", F.trunc("trade_date", "week").alias("as_of_date")
-        ).agg(F.sum("volume").alias("holding_shares"), F.sum("cents").alias("value_cents"), *_arrival(arrival))
-        return held.withColumn("holding_ticker", F.col("user_id").cast("string"))
-
-    def holdings(held: DataFrame) -> DataFrame:
-        totals = ticks().groupBy(
-            F.col("fund").alias("etf_ticker"), F.trunc("trade_date", "week").alias("as_of_date")
-        ).agg(F.sum("cents").alias("total_cents"))
-        return _with_share(held, totals).select(
+        ).agg(F.sum("volume").alias("holding_shares"), F.sum("cents").alias("value_cents")).withColumn(
+            "holding_ticker", F.col("user_id").cast("string"))
+
+    def book() -> Book:
+        trades = ticks().select(
+            F.col("fund").alias("etf_ticker"), "user_id", F.trunc("trade_date", "week").alias("as_of_date"),
+            F.col("cents").alias("value_cents"), "volume", "seq")
+        return Book.of(trades, "etf_ticker", "user_id", "as_of_date", "value_cents", _measures())
+
+    def describe(held: DataFrame) -> DataFrame:
+        return held.withColumn("holding_ticker", F.col("user_id").cast("string")).select(
             "etf_ticker", "holding_ticker",
             F.concat(F.lit("User "), F.col("holding_ticker")).alias("holding_name"),
             "holding_percent", "holding_shares",
             (F.col("value_cents") / F.lit(100.0)).alias("holding_value"),
-            "as_of_date", F.lit("events").alias("source"), *[c for c in held.columns if c == "arrival"],
+            "as_of_date", F.lit("events").alias("source"), "arrival",
         )
 
     return Market(
-        fund_meta, fund_prices, stock_prices, positions, holdings,
-        benchmark="view", benchmark_funds=("view",), clock=clock,
+        fund_meta, fund_prices, stock_prices, positions, book, describe,
+        benchmark="view", benchmark_funds=("view",), clock=clock, facts=None if last_days else (spark, sf_dir, "events"),
     )
 
 
@@ -257,11 +319,14 @@ def line_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
             "price_change_percent",
         )
 
-    def fund_meta() -> DataFrame:
+    def fund_meta(names: DataFrame | None = None) -> DataFrame:
         is_benchmark = F.col("s_suppkey") < 6
         nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+        suppliers = load(spark, sf_dir, "supplier")
+        if names is not None:
+            suppliers = suppliers.join(names, F.col("s_suppkey").cast("string") == F.col("ticker"), "left_semi")
         return (
-            load(spark, sf_dir, "supplier")
+            suppliers
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
@@ -285,28 +350,31 @@ def line_market(spark: SparkSession, sf_dir: str, last_days: int | None = None)
             "close_price", "volume", "price_change_percent", "market_cap",
         )
 
-    def positions(arrival: bool = False) -> DataFrame:
-        held = lines().groupBy("l_suppkey", "l_partkey", F.trunc("trade_date", "month").alias("as_of_date")).agg(
-            F.sum("volume").alias("holding_shares"), F.sum("value_cents").alias("value_cents"), *_arrival(arrival)
-        )
-        return held.select(
+    def positions() -> DataFrame:
+        return lines().groupBy("l_suppkey", "l_partkey", F.trunc("trade_date", "month").alias("as_of_date")).agg(
+            F.sum("volume").alias("holding_shares"), F.sum("value_cents").alias("value_cents")
+        ).select(
             F.col("l_suppkey").cast("string").alias("etf_ticker"),
             F.col("l_partkey").cast("string").alias("holding_ticker"),
-            "as_of_date", "holding_shares", "value_cents", "l_partkey", *[c for c in held.columns if c == "arrival"],
+            "as_of_date", "holding_shares", "value_cents",
         )
 
-    def holdings(held: DataFrame) -> DataFrame:
+    def book() -> Book:
+        trades = lines().select(
+            "l_suppkey", "l_partkey", F.trunc("trade_date", "month").alias("as_of_date"), "value_cents", "volume", "seq")
+        return Book.of(trades, "l_suppkey", "l_partkey", "as_of_date", "value_cents", _measures())
+
+    def describe(held: DataFrame) -> DataFrame:
         names = attributes().select("l_partkey", F.col("company_name").alias("holding_name"))
-        totals = lines().groupBy("l_suppkey", F.trunc("trade_date", "month").alias("as_of_date")).agg(
-            F.sum("value_cents").alias("total_cents")
-        ).withColumn("etf_ticker", F.col("l_suppkey").cast("string")).drop("l_suppkey")
-        return _with_share(held, totals).join(names, "l_partkey").select(
-            "etf_ticker", "holding_ticker", "holding_name", "holding_percent", "holding_shares",
+        return held.join(names, "l_partkey").select(
+            F.col("l_suppkey").cast("string").alias("etf_ticker"),
+            F.col("l_partkey").cast("string").alias("holding_ticker"),
+            "holding_name", "holding_percent", "holding_shares",
             (F.col("value_cents") / F.lit(100.0)).alias("holding_value"),
-            "as_of_date", F.lit("lineitem").alias("source"), *[c for c in held.columns if c == "arrival"],
+            "as_of_date", F.lit("lineitem").alias("source"), "arrival",
         )
 
     return Market(
-        fund_meta, fund_prices, stock_prices, positions, holdings,
-        benchmark="0", benchmark_funds=("0", "1", "2", "3", "4", "5"), clock=clock,
+        fund_meta, fund_prices, stock_prices, positions, book, describe,
+        benchmark="0", benchmark_funds=("0", "1", "2", "3", "4", "5"), clock=clock, facts=None if last_days else (spark, sf_dir, "lineitem"),
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +44,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def kept_folder(spark: SparkSession, name: str) -> str:
+    """As :func:`new_folder`, for a table that outlives an open ``scratch`` block."""
+    return f"{shared_folder(spark)}/fundtide/{name}-{uuid.uuid4().hex}"
+
+
+def version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files, which tell whether it has changed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = system.listStatus(folder)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that :func:`new_folder` named."""
     if not path.startswith(f"{shared_folder(spark)}/fundtide/"):
@@ -67,13 +80,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
-def materialized(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialized(df: DataFrame, name: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder once and go on from there.
 
     Lost executors cannot change rows already written, the rows are computed once,
-    and readers know their size.
+    and readers know their size.  A filter on ``partition_by`` opens only its folders.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
