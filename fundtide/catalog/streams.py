@@ -139,7 +139,7 @@ def hourly_tumbling_agg(spark, sf_dir):
         "ticker string, sector string, ts timestamp, price double, volume bigint"
     ).option("maxFilesPerTrigger", 1).parquet(topic)
     ingest.hourly_to_table(ticks, table, offsets)
-    return _hour_columns(ingest.latest_hours(spark.read.parquet(table)))
+    return _hour_columns(ingest.latest_hours(ingest.hour_slices(spark, table)))
 
 
 @query("hourly_batch", _HOURLY)
@@ -183,7 +183,7 @@ def stream_dedup(spark, sf_dir):
     stream = spark.readStream.schema("ticker string, sector string, ts timestamp, price double").option(
         "maxFilesPerTrigger", 1).parquet(topic)
     ingest.dedup_to_table(stream, ["ticker", "ts"], table, offsets)
-    return spark.read.parquet(table).select(
+    return ingest.tick_slices(spark, table, stream.schema).rows().select(
         "ticker", "sector", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("tick_time"), "price"
     )
 
@@ -198,3 +198,15 @@ def stream_progress(spark, sf_dir):
         tables.topic_stream(spark, topic, files_per_batch=1), schemas.TICK_MESSAGE, table, progress, offsets
     )
     return ingest.progress_totals(spark.read.parquet(progress))
+
+
+@query("stream_progress_reported", sql(EV, """
+SELECT count(*) AS processed, count(*) FILTER (fund IN ('error', 'signup')) AS error_count FROM ev""",
+    "i:processed i:error_count"))
+def stream_progress_reported(spark, sf_dir):
+    table, progress, offsets = (new_folder(spark, n) for n in ("good", "progress", "offsets"))
+    topic = _tick_topic(spark, sf_dir, deliveries=3)
+    ingest.store_and_report(
+        tables.topic_stream(spark, topic, files_per_batch=1), schemas.TICK_MESSAGE, table, progress, offsets
+    )
+    return ingest.progress_totals(spark.read.parquet(progress))

@@ -122,7 +122,7 @@ def test_hours_spread_over_batches(spark, folder):
             f"{price}D AS price, 5L AS volume"
         ).write.mode("append").parquet(topic)
         ingest.hourly_to_table(spark.readStream.schema(schema).parquet(topic), table, offsets)
-    (row,) = ingest.latest_hours(spark.read.parquet(table)).collect()
+    (row,) = ingest.latest_hours(ingest.hour_slices(spark, table)).collect()
     assert (row.avg_price, row.total_volume, row.record_count) == (15.0, 10, 2)
 
 
@@ -191,10 +191,10 @@ def test_no_tick_is_late(spark, folder):
         stream = lambda n=files: spark.readStream.schema(schema).option("maxFilesPerTrigger", n).parquet(topic)
         table = folder("hours")
         ingest.hourly_to_table(stream(), table, folder("offsets"))
-        hours.append(sorted(tuple(r) for r in ingest.latest_hours(spark.read.parquet(table)).collect()))
+        hours.append(sorted(tuple(r) for r in ingest.latest_hours(ingest.hour_slices(spark, table)).collect()))
         table = folder("unique")
         ingest.dedup_to_table(stream(), ["ticker", "ts"], table, folder("offsets"))
-        unique.append(sorted((r.ticker, r.ts, r.price) for r in spark.read.parquet(table).collect()))
+        unique.append(sorted((r.ticker, r.ts, r.price) for r in ingest.tick_slices(spark, table, stream().schema).rows().collect()))
     assert hours[0] == hours[1] and sum(r[-1] for r in hours[0]) == len(TICKS)
     assert unique[0] == unique[1] and len(unique[0]) == 5
 
