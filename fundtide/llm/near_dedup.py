@@ -9,8 +9,8 @@ the index.
 Texts with the same words are one *text* from the start.  Texts that agree in a whole
 band are candidates.  A bucket is never expanded into all pairs: its texts are compared
 with a few pivots.  What this does not connect - texts outside a bucket's largest component -
-meets the rest of its bucket in blocks of bounded size, which give links only; blocks of one
-bucket go to many tasks.  Pivot pairs are first judged by their signatures.
+meets the rest of its bucket in blocks of bounded size, which give links only; the blocks of
+one bucket go to many tasks, a shelf of them to each.  Pivot pairs are first judged by their signatures.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundtide.llm import textops
-from fundtide.llm.graph import components
+from fundtide.llm.graph import extended
 from fundtide.sources.workspace import materialized
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -33,8 +33,10 @@ PIVOTS = 3
 CHUNK_BYTES = 2 << 20
 #: Rounds of pivots at most; none but the first when no more pairs are open than texts times this.
 ROUNDS, OPEN_PAIRS = 6, 200
-#: Texts in a block.
-BLOCK = 64
+#: Texts in a block, and blocks that one task of a bucket compares with others.
+BLOCK, SHELF = 64, 8
+#: Texts whose shingles are asked for by broadcasting their doc_ids; more meet their documents by a shuffle.
+FEW_TEXTS = 20_000
 #: Pairs whose signatures agree in less than this share of the registers are not near: at a
 #: similarity of THRESHOLD that is more than seven standard deviations off.
 LEAST_AGREEING = -(-REGISTERS * 55 // 100)
@@ -147,7 +149,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        texts = [unpack(b.as_py()) for b in batch.column("body")]
+        texts = [unpack(b) if packed else b for b, packed in zip(
+            batch.column("body").to_pylist(), batch.column("packed").to_pylist(), strict=True)]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         data = np.frombuffer(b"".join(texts), np.uint8)
         rows = []
@@ -246,9 +249,14 @@ class _Comparer:
         wanted = ids.distinct()
         if self._sets is not None:
             wanted = wanted.join(self._sets.select("id"), "id", "left_anti")
-        listed = self._texts.join(wanted, "id").select("id", "h1", "h2", "first_doc")
-        found = _packed(self._docs).join(listed, F.col("doc_id").eqNullSafe(F.col("first_doc")))
-        new = materialized(found.select("id", "h1", "h2", "body").mapInArrow(_sets, _SETS).dropDuplicates(["id"]), "sets")
+        listed = materialized(self._texts.join(wanted, "id").select("id", "h1", "h2", "first_doc"), "wanted")
+        same = F.col("doc_id").eqNullSafe(F.col("first_doc"))
+        if listed.count() <= FEW_TEXTS:  # 32 bytes each
+            body = F.coalesce("text", F.lit("")).cast("binary").alias("body")
+            found = self._docs.join(F.broadcast(listed), same).select("id", "h1", "h2", body, F.lit(False).alias("packed"))
+        else:
+            found = _packed(self._docs).join(listed, same).select("id", "h1", "h2", "body", F.lit(True).alias("packed"))
+        new = materialized(found.mapInArrow(_sets, _SETS).dropDuplicates(["id"]), "sets")
         self._sets = new if self._sets is None else self._sets.unionByName(new)
 
     def in_blocks(self, outside: DataFrame, members: DataFrame) -> DataFrame:
@@ -259,8 +267,8 @@ class _Comparer:
 
         def blocks(part: DataFrame, name: str) -> DataFrame:
             dealt = part.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-            return dealt.join(self._sets, "id").groupBy("key", "block").agg(
-                F.collect_list(F.struct("id", "component", "hashes", "counts")).alias(name)).drop("block")
+            return dealt.join(self._sets, "id").groupBy("key", "blocks", "block").agg(
+                F.collect_list(F.struct("id", "component", "hashes", "counts")).alias(name))
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -272,8 +280,12 @@ class _Comparer:
                             [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(value, pa.float64())],
                             ["a", "b", "similarity"])
 
-        # A row is two blocks, so few of them go to a worker at a time.
-        both = blocks(outside, "one").join(blocks(members, "two"), "key").select("one", "two")
+        # A bucket's blocks stand on shelves; a block from outside goes to every shelf of its
+        # bucket, so no task has more than one shelf of it.
+        shelves = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("blocks") - 1) / SHELF))
+        one = blocks(outside, "one").select("key", F.explode(shelves).alias("shelf"), "one")
+        two = blocks(members, "two").select("key", F.floor(F.col("block") / SHELF).alias("shelf"), "two")
+        both = one.join(two, ["key", "shelf"]).select("one", "two")
         found = both.mapInArrow(compare, "a bigint, b bigint, similarity double")
         return materialized(found.dropDuplicates(["a", "b"]), "links")
 
@@ -320,8 +332,8 @@ def _still_open(placed: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     return members.drop("main", "size"), outside.drop("main", "size"), pairs
 
 
-def links(docs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity >= threshold): links that connect all that links between texts of a bucket connect.
+def connected(docs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, component) of the texts that are linked, by links that connect all that links within buckets connect.
 
     Two texts of a bucket that are near but in no pair here are in one component all the same.
     Pivots after the first round come from outside the bucket's largest component, and are then
@@ -332,21 +344,19 @@ def links(docs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> Da
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
     members = materialized(members.join(shared, "key").withColumn("component", F.col("id")), "members")
     limit = max(1000, OPEN_PAIRS * texts.count())
-    found: DataFrame | None = None
+    found: DataFrame | None = None  # (id, component)
     outside, turn = members, 0
     while True:
         meet = members.join(_pivots(outside, turn), "key").filter("component <> pivot_component")
         new = compare(_ordered(meet.select(F.col("pivot").alias("a"), F.col("id").alias("b"))))
-        found = new if found is None else found.unionByName(new)
-        connected = materialized(components(found.select("a", "b")), "components")
-        placed = members.drop("component").join(connected, "id", "left").withColumn(
-            "component", F.coalesce("component", "id"))
+        found = extended(found, new)
+        placed = members.drop("component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
         members, outside, open_pairs = _still_open(placed)
         turn += 1
         if open_pairs <= limit or turn == ROUNDS:
             break
     if open_pairs:
-        found = found.unionByName(compare.in_blocks(outside, members))
+        found = extended(found, compare.in_blocks(outside, members))
     return found
 
 
@@ -363,7 +373,7 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
         signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.first("bands").alias("bands"),
                                      F.first("marks").alias("marks"))
         .withColumn("id", F.monotonically_increasing_id()), "texts")
-    found = components(links(rows, texts, threshold).select("a", "b"))
+    found = connected(rows, texts, threshold)
     placed = texts.select("h1", "h2", "id", "first_doc").join(found, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     leads = placed.groupBy("component").agg(F.min("first_doc").alias("class_id"))
@@ -388,8 +398,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of ``docs``, all columns, of each class."""
-    kept = _classes(docs, threshold).filter("kept").select(F.col("key").alias("_key")).distinct()
-    found = docs.withColumn("_key", _row_key()).join(kept, "_key", "left_semi")
+    kept = _classes(docs, threshold).filter("kept").select(F.col("key").alias("row_key")).distinct()
+    # The row travels in a struct, so its columns may have any names.
+    found = docs.select(_row_key().alias("row_key"), F.struct("*").alias("row")).join(kept, "row_key", "left_semi")
     # Rows of one key are repetitions of one row.
-    order = Window.partitionBy("_key").orderBy("_key")
-    return found.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "_key")
+    return found.groupBy("row_key").agg(F.first("row").alias("row")).select("row.*")
