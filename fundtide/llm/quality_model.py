@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from fundtide.llm import labelled, textops
 
-#: Labelled documents per class, and passages of each, that the model is fitted on.
-SAMPLE, SAMPLE_PASSAGES = 2000, 48
+#: Labelled documents per class that the model is fitted on, with all their passages.
+SAMPLE = 2000
 PASSAGE_WORDS = 64
 HIDDEN, GATE = 16, 8
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
@@ -155,11 +155,7 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in textops.chunks(batches):
         x, doc = passages(*textops.utf8(batch.column("text")))
         ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-        # Of a long text, passages spread over all of it.
-        rows = []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            at = np.unique(np.linspace(a, b - 1, min(b - a, SAMPLE_PASSAGES)).astype(int))
-            rows.append(x[at].astype("<f4").tobytes())
+        rows = [x[a:b].astype("<f4").tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label").cast(pa.int64()), pa.array(rows, pa.binary())],
             ["doc_id", "label", "passages"])

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from fundtide.llm import labelled, textops
 
-#: Labelled documents per class, and lines of each, that the field is fitted on.
-SAMPLE, SAMPLE_LINES = 1500, 64
+#: Labelled documents per class that the field is fitted on, with all their lines.
+SAMPLE = 1500
 #: Weight of all boilerplate lines against all content lines in the fit: losing a good
 #: document counts more than keeping a poor one.
 BOILERPLATE_WEIGHT = 0.2
@@ -221,7 +221,7 @@ def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in textops.chunks(batches):
         found = measure(*textops.utf8(batch.column("text")))
         first = np.searchsorted(found.line_doc, np.arange(batch.num_rows))
-        stop = np.minimum(np.searchsorted(found.line_doc, np.arange(batch.num_rows), side="right"), first + SAMPLE_LINES)
+        stop = np.searchsorted(found.line_doc, np.arange(batch.num_rows), side="right")
         rows = [found.lines[a:b].astype("<f8").tobytes() for a, b in zip(first, stop, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("label").cast(pa.int64()), pa.array(rows, pa.binary())], ["label", "lines"])
@@ -268,7 +268,11 @@ def judge(data: np.ndarray, offsets: np.ndarray, field: LineField) -> dict[str,
 
 
 def assess(docs: DataFrame, field: LineField) -> DataFrame:
-    """One row per document.  Null and empty texts have no word, so the base rules reject them."""
+    """One row per row of ``docs``, repeated ones included; a verdict depends on the text alone.
+
+    Null and empty texts have no word, so the base rules reject them.  Of equally good
+    labellings of the lines, Viterbi takes boilerplate.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
     names = [item.split()[0] for item in RESULT.split(", ")]
 

@@ -461,27 +461,37 @@ def digest(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     return _with_runs(docs, width, gram).mapInArrow(run, DIGEST)
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """The rows of ``docs`` with repeated byte strings cut out of ``text``.
 
     Bytes of a character that is cut in two go as well.  A column ``n_chars`` is counted
     anew; the other columns stay.  Rows whose text is null keep it.
     """
+    key, found = _free("_key", docs), _free("_spans", docs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, own in zip(batch.column("text"), batch.column("_spans"), strict=True):
+            for text, own in zip(batch.column("text"), batch.column(found), strict=True):
                 raw = text.as_py()
                 texts.append(raw if raw is None or not own.is_valid else
                              _cut(raw.encode(), own)[2].decode("utf-8", "ignore"))
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "_spans"}
+            columns = {n: batch.column(n) for n in batch.schema.names if n != found}
             columns["text"] = pa.array(texts, columns["text"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     spans = repeats(docs, width, gram)
-    listed = spans.groupBy("key").agg(F.collect_list(F.struct("at", "length")).alias("_spans"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit(""))))
-    joined = keyed.join(listed.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
+    listed = spans.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("at", "length")).alias(found))
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit(""))))
+    joined = keyed.join(listed, key, "left").drop(key)
     left = joined.mapInArrow(run, docs.schema)
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if (
         "n_chars" in docs.columns) else left
