@@ -245,10 +245,10 @@ WHERE stock_rank <= 5 AND sector_rank <= 5"""
     "section i:period_days i:sector_rank i:stock_rank sector item f:value"))
 def period_trend_board(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    sectors = m.fund_meta.filter(F.col("sector_name").isNotNull()).select(
+    sectors = m.stored_fund_meta.filter(F.col("sector_name").isNotNull()).select(
         "ticker", F.col("sector_name").alias("sector")
     )
-    board = boards.period_trend_board(m.stock_prices, m.fund_prices, sectors, m.benchmark, m.clock)
+    board = boards.period_trend_board(m.stored_stock_prices, m.stored_fund_prices, sectors, m.benchmark, m.stored_clock)
     columns = ["section", "period_days", "sector_rank", "stock_rank", "sector", "item", "value"]
     top = board.sectors.withColumns({
         "section": F.lit("sector"), "stock_rank": F.lit(0), "item": F.col("stock_count").cast("string"),

@@ -340,5 +340,5 @@ def event_top_holdings(spark: SparkSession, sf_dir: str, stored: bool = False) -
     from fundtide.sources.workspace import materialized
 
     m = event_market(spark, sf_dir)
-    top = fund_top_holdings(m.held_fund_meta, m.holdings, m.stock_prices, m.clock)
+    top = fund_top_holdings(m.held_fund_meta, m.holdings, m.stored_stock_prices, m.stored_clock)
     return materialized(top, "top-holdings") if stored else top

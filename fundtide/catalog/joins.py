@@ -44,9 +44,7 @@ SELECT r.ticker, period_days, return_pct, company_name, sector, market_cap FROM
 JOIN newest n ON n.ticker = r.ticker AND market_cap > 0""",
     "ticker i:period_days f:return_pct company_name sector i:market_cap"))
 def join_latest_metadata(spark, sf_dir):
-    stocks = line_market(spark, sf_dir).stock_prices
-    gains = returns.period_returns(stocks).select("ticker", "period_days", "return_pct")
-    return joins.join_latest_metadata(gains, stocks, require_market_cap=True)
+    return joins.join_latest_metadata(line_market(spark, sf_dir).stock_prices, require_market_cap=True)
 
 
 _SECTOR_TREND = EV + f"""
@@ -116,7 +114,7 @@ def stock_vs_sector(spark, sf_dir):
 def holdings_meta_metrics(spark, sf_dir):
     m = event_market(spark, sf_dir)
     pairs = latest_per_key(m.holdings, ["etf_ticker", "holding_ticker"], "as_of_date")
-    metrics = returns.stock_metrics(m.stock_prices, m.clock)
+    metrics = returns.stock_metrics(m.stored_stock_prices, m.stored_clock)
     return joins.holdings_meta_metrics(pairs, m.held_fund_meta, metrics).select(
         "etf_ticker", "etf_type", "sector_name", "holding_ticker", "holding_percent", "period_days", "avg_return",
         "total_return", "volatility", "trading_days",
@@ -186,7 +184,8 @@ FROM snapshot LEFT JOIN caps ON caps.ticker = holding_ticker LEFT JOIN gains ON
     "etf_ticker holding_ticker holding_name f:market_cap trade_date f:holding_return_pct"))
 def holdings_left_mcap_returns(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    out = joins.holdings_left_mcap_returns(m.snapshot, returns.latest_and_return(since(m.stock_prices, m.clock, 20)))
+    out = joins.holdings_left_mcap_returns(
+        m.snapshot, returns.latest_and_return(since(m.stored_stock_prices, m.stored_clock, 20)))
     return out.select(
         "etf_ticker", "holding_ticker", "holding_name", F.col("market_cap").cast("double").alias("market_cap"),
         F.coalesce(F.col("trade_date").cast("string"), F.lit("none")).alias("trade_date"), "holding_return_pct",
@@ -215,7 +214,7 @@ coverage AS (
 def line_coverage(spark, sf_dir):
     m = line_market(spark, sf_dir)
     return joins.trending_coverage(
-        line_trending(spark, sf_dir, described=False), m.positions, m.stock_prices, m.clock, holding_days=40
+        line_trending(spark, sf_dir, described=False), m.positions, m.stored_stock_prices, m.stored_clock, holding_days=40
     )
 
 

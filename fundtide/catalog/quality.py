@@ -54,7 +54,7 @@ figures AS (
     ("holdings", "positions", ">=", "1")), _RULE_COLUMNS))
 def gate_history_ready(spark, sf_dir):
     m = event_market(spark, sf_dir)
-    return quality.gate_history_ready(m.fund_meta, m.stock_prices, m.holdings, m.clock)
+    return quality.gate_history_ready(m.stored_fund_meta, m.stored_stock_prices, m.positions, m.stored_clock)
 
 
 @query("verify_results", sql(EV_TOP, """

@@ -45,9 +45,9 @@ WHERE rank_position <= 5""", "etf_ticker holding_ticker f:current_price i:rank_p
 def top5_per_fund(spark, sf_dir):
     m = event_market(spark, sf_dir)
     pairs = windows.latest_per_key(
-        m.holdings.select("etf_ticker", "holding_ticker", "as_of_date"), ["etf_ticker", "holding_ticker"], "as_of_date"
+        m.positions.select("etf_ticker", "holding_ticker", "as_of_date"), ["etf_ticker", "holding_ticker"], "as_of_date"
     )
-    metrics = returns.stock_metrics(m.stock_prices, m.clock, (20,)).withColumnRenamed("ticker", "holding_ticker")
+    metrics = returns.stock_metrics(m.stored_stock_prices, m.stored_clock, (20,)).withColumnRenamed("ticker", "holding_ticker")
     return windows.top_k_per_group(
         pairs.join(metrics, "holding_ticker"), ["etf_ticker"],
         [F.col("total_return").desc_nulls_last(), F.col("holding_ticker")], 5, "rank_position",
@@ -195,7 +195,7 @@ held AS (SELECT s.*, market_cap FROM snapshot s LEFT JOIN caps c ON c.ticker = s
 def _snapshot_with_caps(spark, sf_dir):
     m = line_market(spark, sf_dir)
     caps = windows.latest_per_key(
-        windows.since(m.stock_prices, m.clock, 30).select("ticker", "trade_date", "market_cap"),
+        windows.since(m.stored_stock_prices, m.stored_clock, 30).select("ticker", "trade_date", "market_cap"),
         ["ticker"], "trade_date",
     ).select(F.col("ticker").alias("holding_ticker"), "market_cap")
     return m.newest_pairs.join(caps, "holding_ticker", "left")

@@ -12,7 +12,7 @@ from fundtide import settings
 from fundtide.functions.columns import is_trending
 from fundtide.functions.dates import day
 from fundtide.operators.ranking import global_rank
-from fundtide.operators.returns import calendar_periods, point_return
+from fundtide.operators.returns import calendar_returns, point_return
 from fundtide.operators.windows import latest_per_key, month_to_date, since, top_k_per_group
 from fundtide.sources.workspace import materialized
 
@@ -154,12 +154,8 @@ def period_trend_board(
     (ticker, sector), one fund per sector.
     """
     keys = ("ticker", "period_days")
-    funds = (
-        calendar_periods(fund_prices, as_of, periods, 3)
-        .select("ticker", "trade_date", "close_price", "period_days")
-    )
     # One row per fund and period, read for the benchmark and for the sectors.
-    fund_gain = materialized(point_return(funds, keys).withColumn(
+    fund_gain = materialized(calendar_returns(fund_prices, as_of, periods, 3).withColumn(
         "gain", F.when(F.col("day_count") >= 2, F.col("return_pct")).otherwise(F.lit(0.0))
     ).select(*keys, "gain"), "fund-gains")
     # One row per period.
@@ -170,12 +166,9 @@ def period_trend_board(
         "sector", "period_days", "gain"
     ).filter(F.col("period_days").isNotNull())
 
-    rows = calendar_periods(stocks, as_of, periods, 3).select(
-        "ticker", "company_name", "sector", "trade_date", "close_price", "period_days"
-    )
     # One row per stock and period, read for the sectors, the leaders and the details.
     gains = materialized(
-        point_return(rows, ("ticker", "company_name", "sector", "period_days"))
+        calendar_returns(stocks, as_of, periods, 3, ("ticker", "company_name", "sector"))
         .filter((F.col("day_count") >= 2) & (F.col("end_price") > 0))
         .withColumnRenamed("return_pct", "period_return")
         .select(*keys, "company_name", "sector", "period_return", "start_price", "end_price"),
@@ -191,9 +184,10 @@ def period_trend_board(
     trending = by_sector.filter(
         is_trending(F.col("avg_return"), F.coalesce("benchmark_return", F.lit(0.0)))
     )
-    sectors = top_k_per_group(
+    # A few rows per period, for all three results.
+    sectors = materialized(top_k_per_group(
         trending, ["period_days"], [F.col("avg_return").desc(), F.col("sector")], sector_limit, "sector_rank"
-    ).select("period_days", "sector_rank", "sector", "stock_count", "avg_return")
+    ).select("period_days", "sector_rank", "sector", "stock_count", "avg_return"), "sectors")
 
     placed = gains.join(sectors.select("period_days", "sector", "sector_rank"), ["period_days", "sector"])
     order = [F.col("period_return").desc(), F.col("ticker")]
@@ -284,10 +278,7 @@ def sector_leaderboard(
     fund_prices: DataFrame, fund_sectors: DataFrame, as_of, periods: Sequence[int] = settings.PERIODS, flagged: int = 2
 ) -> DataFrame:
     """Sectors ranked by their fund's return in each calendar window; the first two are flagged."""
-    rows = calendar_periods(
-        fund_prices.select("ticker", "trade_date", "close_price"), as_of, periods
-    )
-    gains = point_return(rows, ("ticker", "period_days")).filter(F.col("day_count") >= 2)
+    gains = calendar_returns(fund_prices, as_of, periods).filter(F.col("day_count") >= 2)
     ranked = global_rank(
         gains.join(fund_sectors, "ticker"), ["period_days"],
         [F.col("return_pct").desc(), F.col("sector"), F.col("ticker")],
@@ -305,10 +296,7 @@ def leading_sector_stocks(
     flagged = leaderboard.filter("is_trending").select(
         "period_days", "sector", F.col("return_pct").alias("sector_return")
     )
-    rows = calendar_periods(
-        stocks.select("ticker", "company_name", "sector", "trade_date", "close_price"), as_of, periods
-    )
-    gains = point_return(rows, ("ticker", "company_name", "sector", "period_days"))
+    gains = calendar_returns(stocks, as_of, periods, keys=("ticker", "company_name", "sector"))
     return top_k_per_group(
         gains.join(flagged, ["period_days", "sector"]), ["period_days", "sector"],
         [F.col("return_pct").desc(), F.col("ticker")], k,

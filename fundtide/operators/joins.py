@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from fundtide import settings
 from fundtide.functions.columns import benchmark_order
 from fundtide.functions.dates import day
-from fundtide.operators.returns import point_return
-from fundtide.operators.windows import latest_per_key, top_k_per_group
+from fundtide.operators.returns import period_returns, point_return
+from fundtide.operators.windows import latest_per_key, since, top_k_per_group
+from fundtide.sources.workspace import materialized
 
 
 def prices_with_meta(prices: DataFrame, meta: DataFrame) -> DataFrame:
@@ -30,17 +31,16 @@ def returns_with_holdings(returns: DataFrame, holdings: DataFrame) -> DataFrame:
     return returns.join(pairs, "ticker")
 
 
-def latest_attributes(stocks: DataFrame) -> DataFrame:
-    """Newest company name, sector and market cap of every stock."""
-    rows = stocks.select("ticker", "trade_date", "company_name", "sector", "market_cap")
-    return latest_per_key(rows, ["ticker"], "trade_date").drop("trade_date")
-
+def join_latest_metadata(
+    stocks: DataFrame, periods: Sequence[int] = settings.PERIODS, require_market_cap: bool = False, **options
+) -> DataFrame:
+    """Period returns of every stock beside the attributes of its newest row.
 
-def join_latest_metadata(returns: DataFrame, stocks: DataFrame, require_market_cap: bool = False) -> DataFrame:
-    newest = latest_attributes(stocks)
-    if require_market_cap:
-        newest = newest.filter(F.col("market_cap") > 0)
-    return returns.join(newest, "ticker")
+    Both come from one numbering of the rows, so the stocks are read once and not joined.
+    """
+    attributes = ["company_name", "sector", "market_cap"]
+    rows = period_returns(stocks, periods, carry=attributes, **options).select("ticker", "period_days", "return_pct", *attributes)
+    return rows.filter(F.col("market_cap") > 0) if require_market_cap else rows
 
 
 def stocks_in_trending_sectors(stock_returns: DataFrame, sector_trends: DataFrame) -> DataFrame:
@@ -129,19 +129,21 @@ def holding_across_funds(top_holdings: DataFrame, holding: str | None = None) ->
 def trending_coverage(
     trending: DataFrame, holdings: DataFrame, stocks: DataFrame, as_of, holding_days: int = 2, stock_days: int = 25
 ) -> DataFrame:
-    """One row: trending funds, distinct stocks they hold, and how many of those have bars."""
-    funds = trending.filter("is_trending").select("etf_ticker").distinct()
-    held = holdings.join(funds, "etf_ticker", "left_semi")
-    recent = held.filter(F.col("as_of_date") >= day(as_of, holding_days))
-    all_held = held.select(F.col("holding_ticker").alias("ticker")).distinct()
-    priced = stocks.filter(F.col("trade_date") >= day(as_of, stock_days)).join(
-        all_held, "ticker", "left_semi"
-    )
-    return funds.agg(F.count("*").alias("trending_count")).select(
-        "trending_count",
-        recent.agg(F.countDistinct("holding_ticker").alias("n")).scalar().alias("holdings_count"),
-        priced.agg(F.countDistinct("ticker").alias("n")).scalar().alias("stock_count"),
-    )
+    """One row: trending funds, distinct stocks they hold, and how many of those have bars.
+
+    Each input is read once: a stock has one row with the newest date on which such a fund
+    held it and whether it has bars, and all counts come from these.
+    """
+    funds = materialized(trending.filter("is_trending").select("etf_ticker").distinct(), "trending")
+    held = holdings.join(funds, "etf_ticker", "left_semi").groupBy(F.col("holding_ticker").alias("ticker")).agg(
+        F.max("as_of_date").alias("held"))
+    priced = since(stocks, as_of, stock_days).select("ticker").distinct().withColumn("priced", F.lit(True))
+    known = F.col("ticker").isNotNull()
+    return held.join(priced, "ticker", "left").agg(
+        F.count_if(known & (F.col("held") >= day(as_of, holding_days))).alias("holdings_count"),
+        F.count_if(F.col("priced")).alias("stock_count"),
+    ).select(
+        funds.agg(F.count("*").alias("n")).scalar().alias("trending_count"), "holdings_count", "stock_count")
 
 
 def coalesce_two_sources(primary: DataFrame, secondary: DataFrame, key: str = "ticker") -> DataFrame:

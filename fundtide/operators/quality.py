@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fundtide import settings
 from fundtide.functions.dates import day
+from fundtide.operators.windows import since
 
 
 def rule(name: str, observed: Column, required: Column | float, passed: Column) -> Column:
@@ -65,7 +66,7 @@ def gate_history_ready(
     meta: DataFrame, stocks: DataFrame, holdings: DataFrame, as_of, days: int = 40, min_days: int = 20
 ) -> DataFrame:
     """Funds, holdings and at least ``min_days`` trading days of recent stock history exist."""
-    recent = stocks.filter(F.col("trade_date") >= day(as_of, days))
+    recent = since(stocks, as_of, days)
     figures = recent.agg(
         F.countDistinct("ticker").alias("tickers"), F.countDistinct("trade_date").alias("days")
     ).select(

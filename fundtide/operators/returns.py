@@ -142,6 +142,34 @@ def calendar_periods(
     return inside.withColumn("period_days", _periods_where(periods, lambda p: age <= p + slack_days))
 
 
+def calendar_returns(
+    bars: DataFrame, as_of, periods: Sequence[int], slack_days: int = 0, keys: Sequence[str] = ("ticker",)
+) -> DataFrame:
+    """:func:`point_return` of every calendar window ``[as_of - N - slack, as_of]``, however many windows there are.
+
+    The windows lie inside each other.  A bar is counted once, in the partial result of the
+    shortest window that holds it; a window is the sum of the partials up to its own.  So rows
+    are not repeated per window: what is repeated is a key's few partials.
+    """
+    ages = sorted(periods)
+    age = F.date_diff(day(as_of), F.col("trade_date"))
+    shortest = F.coalesce(*[F.when(age <= p + slack_days, F.lit(p)) for p in ages])
+    inside = since(bars, as_of, ages[-1] + slack_days).withColumn("_shortest", shortest)
+    parts = inside.groupBy(*keys, "_shortest").agg(
+        F.min_by("close_price", "trade_date").alias("start_price"), F.max_by("close_price", "trade_date").alias("end_price"),
+        F.min("trade_date").alias("start_date"), F.max("trade_date").alias("end_date"), F.count("*").alias("day_count"))
+    wider = parts.withColumn("period_days", _periods_where(ages, lambda p: F.col("_shortest") <= p))
+    return (
+        wider.groupBy(*keys, "period_days")
+        .agg(
+            F.min_by("start_price", "start_date").alias("start_price"), F.max_by("end_price", "end_date").alias("end_price"),
+            F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"), F.sum("day_count").alias("day_count"),
+        )
+        .filter(F.col("start_price") > 0)
+        .withColumn("return_pct", pct_change(F.col("end_price"), F.col("start_price")))
+    )
+
+
 def stock_metrics(
     bars: DataFrame,
     as_of,

@@ -85,6 +85,11 @@ class Market:
         """As ``stock_prices``, from the table with the stored change, with ``trade_month``."""
         return self._stored("stock-bars", "stock_prices")
 
+    @cached_property
+    def stored_fund_meta(self) -> DataFrame:
+        """Metadata of the funds that have stored bars."""
+        return self._build["fund_meta"](self.stored_fund_prices.select("ticker").distinct())
+
     @cached_property
     def stored_clock(self) -> Clock:
         """The newest day of the stored bars."""

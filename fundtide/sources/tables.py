@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +18,41 @@ def parquet_table(spark: SparkSession, path: str, schema: T.StructType | None =
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def range_predicates(column: str, low: date | None, high: date | None, parts: int) -> list[str]:
+    """Conditions that deal the rows of a database table into ``parts`` ranges of days.
+
+    They exclude each other and leave no row out: the first and last range are open, for rows
+    that came after ``low`` and ``high`` were looked up, and rows without a date are a range.
+    Days are not cut, so there are no more ranges than days.
+    """
+    if low is None or high is None:
+        return ["1 = 1"]
+    days = (high - low).days + 1
+    parts = max(1, min(parts, days))
+    edges = [low + timedelta(days=days * k // parts) for k in range(1, parts)]
+    found = []
+    for first, last in zip([None, *edges], [*edges, None]):
+        ends = [f"{column} >= DATE '{first}'"] if first else []
+        ends += [f"{column} < DATE '{last}'"] if last else []
+        found.append(" AND ".join(ends) or f"{column} IS NOT NULL")
+    return [*found, f"{column} IS NULL"]
+
+
 def jdbc_table(
-    spark: SparkSession, url: str, table: str, partition_column: str, lower, upper, partitions: int, **properties
+    spark: SparkSession, url: str, table: str, partition_column: str, partitions: int, properties: dict[str, str] | None = None,
+    since: date | None = None,
 ) -> DataFrame:
-    """The same tables from a database, read in parallel slices of ``partition_column``."""
-    return spark.read.jdbc(
-        url, table, column=partition_column, lowerBound=lower, upperBound=upper,
-        numPartitions=partitions, properties=properties,
-    )
+    """The same tables from a database, read in parallel ranges of a date column.
+
+    The ends of the ranges come from one query for the least and greatest date; ``since`` is
+    part of that query and of every range, so older rows never leave the database.
+    """
+    properties = properties or {}
+    bound = f"{partition_column} >= DATE '{since}'" if since else "1 = 1"
+    probe = f"(SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table} WHERE {bound}) probe"
+    low, high = spark.read.jdbc(url, probe, properties=properties).first()
+    ranges = [f"({p}) AND {bound}" for p in range_predicates(partition_column, low, high, partitions)]
+    return spark.read.jdbc(url, table, predicates=ranges, properties=properties)
 
 
 def scan_prices(
