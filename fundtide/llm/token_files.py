@@ -6,7 +6,8 @@ A shard file holds the ids of a range of documents::
     block*      little-endian: minimum u32, count u16, width u8, 0 u8, exceptions u16,
                 packed bits (count x width, low bit first), positions u16[], values u32[]
     index       documents: doc_id i64[], ids u32[]; blocks: file offset u64[]
-    footer      index offset u64, documents u64, blocks u64, ids u64, "PFORIDS1"
+    footer      index offset u64, documents u64, those without a doc_id u64 (they come first),
+                blocks u64, ids u64, "PFORIDS1"
 
 Each block subtracts its minimum and packs the differences with the width that holds a
 given share of them; larger ones keep their low bits in place, and their values go to
@@ -21,8 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundtide.llm import textops, tokenizing
@@ -33,7 +36,7 @@ BLOCK = 4096
 #: Share of a block's values that its width must hold.
 SHARE = 0.95
 _HEAD = struct.Struct("<IHBBH")
-_FOOT = struct.Struct("<QQQQ8s")
+_FOOT = struct.Struct("<QQQQQ8s")
 
 
 def pack_block(ids: np.ndarray, share: float = SHARE) -> bytes:
@@ -67,8 +70,20 @@ def unpack_block(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
 
 
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (
-        fs.LocalFileSystem(), folder)
+    return fs.FileSystem.from_uri(folder)
+
+
+def located(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark resolves it; one that the tasks cannot open is refused."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    try:
+        _open(uri)
+    except (ValueError, pa.ArrowInvalid, pa.ArrowNotImplementedError) as error:
+        raise ValueError(f"token files cannot be written to {uri}: {error}") from error
+    return uri
 
 
 class ShardWriter:
@@ -80,9 +95,11 @@ class ShardWriter:
         self.counts: list[np.ndarray] = []
         self._blocks: list[int] = []
         self._at = stream.write(MAGIC) or len(MAGIC)
-        self.n_ids = 0
+        self.n_ids = self.nameless = 0
 
-    def add(self, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, nameless: int = 0) -> None:
+        """Documents in order; the first ``nameless`` have no doc_id, and none before them has one."""
+        self.nameless += nameless
         self.doc_ids.append(doc_ids.astype("<i8"))
         self.counts.append(counts.astype("<u4"))
         self.n_ids += len(ids)
@@ -104,7 +121,7 @@ class ShardWriter:
         join = lambda parts, kind: (np.concatenate(parts) if parts else np.zeros(0)).astype(kind)
         docs = join(self.doc_ids, "<i8")
         self._out.write(docs.tobytes() + join(self.counts, "<u4").tobytes() + np.array(self._blocks, "<u8").tobytes())
-        self._out.write(_FOOT.pack(self._at, len(docs), len(self._blocks), self.n_ids, MAGIC))
+        self._out.write(_FOOT.pack(self._at, len(docs), self.nameless, len(self._blocks), self.n_ids, MAGIC))
         self._out.close()
 
 
@@ -116,7 +133,7 @@ class ShardReader:
         size = file.size()
         if size < len(MAGIC) + _FOOT.size or file.read_at(len(MAGIC), 0) != MAGIC:
             raise ValueError("not a token-ID file")
-        self._end, docs, blocks, self.n_ids, magic = _FOOT.unpack(file.read_at(_FOOT.size, size - _FOOT.size))
+        self._end, docs, self.nameless, blocks, self.n_ids, magic = _FOOT.unpack(file.read_at(_FOOT.size, size - _FOOT.size))
         if magic != MAGIC:
             raise ValueError("not a complete token-ID file")
         raw = file.read_at(12 * docs + 8 * blocks, self._end)
@@ -138,8 +155,8 @@ class ShardReader:
             parts.append(ids)
         return np.concatenate(parts)[start - first * BLOCK:stop - first * BLOCK]
 
-    def documents(self, ids_at_a_time: int = 1 << 20) -> Iterator[tuple[int, int, int, int]]:
-        """doc_id, start in the shard, number of ids and their crc32, in order."""
+    def documents(self, ids_at_a_time: int = 1 << 20) -> Iterator[tuple[int | None, int, int, int]]:
+        """doc_id (None without one), start in the shard, number of ids and their crc32, in order."""
         ends = np.cumsum(self.counts)
         k = 0
         while k < len(ends):
@@ -148,17 +165,18 @@ class ShardReader:
             ids = self.ids(begin, int(ends[stop - 1])).astype("<u4")
             for d in range(k, stop):
                 own = int(ends[d] - self.counts[d])
-                yield int(self.doc_ids[d]), own, int(self.counts[d]), zlib.crc32(ids[own - begin:ends[d] - begin])
+                yield None if d < self.nameless else int(self.doc_ids[d]), own, int(self.counts[d]), zlib.crc32(ids[own - begin:ends[d] - begin])
             k = stop
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     """Encode every document and write shard files of ascending doc_id into ``folder``.
 
-    Rows without a doc_id are refused, as they have no place in the order; a null text is
-    empty, repeated doc_ids are kept in the order of their texts.  A task writes its range of
+    Rows without a doc_id come first; a null text is empty; repeated doc_ids are kept in the
+    order of a hash of their texts, so they may spread over files.  A task writes its range of
     documents to a file of its own name, so a repeated task never touches another's file;
-    only files that the returned manifest names count.  Manifest: file, first_doc, n_docs, n_ids.
+    only files that the returned manifest names count.  Manifest: file, place (its number in
+    the order), n_docs, n_ids.
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
@@ -172,18 +190,19 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 name = f"ids-{uuid.uuid4().hex}.pfor"
                 writer = ShardWriter(where.open_output_stream(f"{base}/{name}"))
             ids, at = encode(*textops.utf8(batch.column("text")))
-            doc_ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            writer.add(doc_ids, np.diff(at) + 1, np.insert(ids, at[1:], np.uint32(end_id)))
+            doc_ids = pc.fill_null(batch.column("doc_id"), 0).to_numpy(zero_copy_only=False)
+            writer.add(doc_ids, np.diff(at) + 1, np.insert(ids, at[1:], np.uint32(end_id)), batch.column("doc_id").null_count)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({
-                "file": [name], "first_doc": [int(writer.doc_ids[0][0])],
+                "file": [name], "place": [TaskContext.get().partitionId()],
                 "n_docs": [sum(map(len, writer.doc_ids))], "n_ids": [writer.n_ids],
             })
 
-    rows = textops.documents(docs, "doc_id", "text").filter("doc_id IS NOT NULL")
-    placed = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialized(placed.mapInArrow(write, "file string, first_doc bigint, n_docs bigint, n_ids bigint"), "manifest")
+    folder = located(docs.sparkSession, folder)
+    rows = textops.documents(docs, "doc_id", "text").withColumn("mark", F.xxhash64("text"))
+    placed = rows.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark", "text").select("doc_id", "text")
+    return materialized(placed.mapInArrow(write, "file string, place bigint, n_docs bigint, n_ids bigint"), "manifest")
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
@@ -200,8 +219,9 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                      pa.array(count, pa.int64()), pa.array(crc, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
+    folder = located(manifest.sparkSession, folder)
     # One row per file: the window has as many rows as there are files.
-    order = Window.orderBy("first_doc", "file").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.withColumn("before", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
     n = max(1, manifest.count())
     return files.select("file", "before").repartition(n).mapInArrow(

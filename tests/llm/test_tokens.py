@@ -131,12 +131,26 @@ def test_token_files_of_a_table(llm_spark, documents, corpus):
 
 def test_token_files_of_odd_rows(odd, nothing):
     path = public_tokenizers.path(FILES[0])
-    rows = token_files.token_file_digest(odd, path).collect()
-    assert sorted(r["doc_id"] for r in rows) == sorted(d for d, _ in ODD_TEXTS if d is not None)
+    rows = token_files.token_file_digest(odd.unionByName(odd).repartition(5), path).collect()
+    encoder, start = tokenizing.Encoder(path), 0
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])] == sorted(
+        [d for d, _ in ODD_TEXTS] * 2, key=lambda d: (d is not None, d))
+    want = sorted((d or -1, zlib.crc32(np.append(encoder.whole(t or ""), 2).astype("<u4"))) for d, t in ODD_TEXTS * 2)
+    assert sorted((r["doc_id"] or -1, r["ids_crc32"]) for r in rows) == want
+    for r in sorted(rows, key=lambda r: r["start"]):
+        assert r["start"] == start
+        start += r["n_tokens"]
     assert {r["n_tokens"] for r in rows if r["doc_id"] in (1, 2, 3)} == {1}
     assert token_files.token_file_digest(nothing, path).count() == 0
 
 
+def test_token_files_know_their_file_system(llm_spark, tmp_path):
+    assert token_files.located(llm_spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert token_files.located(llm_spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+    with pytest.raises(ValueError, match="cannot be written"):
+        token_files.located(llm_spark, "viewfs:///somewhere")
+
+
 def check_packing(rows, capacity):
     by_sequence = {}
     for r in rows:
