@@ -190,7 +190,9 @@ def variants(vocabulary: DataFrame, ratio: int = 5) -> DataFrame:
     the occurrences; the root is where following forms ends.  Words are distinct and not null;
     an empty vocabulary gives no rows.
     """
-    fore = materialized(_numbered(vocabulary.select(F.col("word").alias("key"), "n")), "fore")
+    # Ranges are cut from a sample of the words, so they are read twice.
+    vocabulary = materialized(vocabulary.select(F.col("word").alias("key"), "n"), "vocabulary")
+    fore = materialized(_numbered(vocabulary), "fore")
     back = _numbered(fore.select(F.reverse("key").alias("key"), "n", "id")).select("id", F.col("nodes").alias("back"))
     words = materialized(fore.withColumnRenamed("nodes", "fore").join(back, "id"), "nodes").withColumnRenamed("key", "word")
     near = neighbours(words)
