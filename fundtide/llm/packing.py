@@ -189,7 +189,7 @@ def pack(pieces_: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> Da
     spark = pieces_.sparkSession
     kept = materialized(pieces_, "pieces")
     histogram = {r["length"]: r["count"] for r in kept.groupBy("length").count().collect()}
-    table = spark.sparkContext.broadcast(slots(plan(histogram, capacity, steps)))
+    table = textops.shared(spark, slots(plan(histogram, capacity, steps)))
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

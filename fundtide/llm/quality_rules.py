@@ -273,7 +273,7 @@ def assess(docs: DataFrame, field: LineField) -> DataFrame:
     Null and empty texts have no word, so the base rules reject them.  Of equally good
     labellings of the lines, Viterbi takes boilerplate.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = textops.shared(docs.sparkSession, field)
     names = [item.split()[0] for item in RESULT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +287,7 @@ def assess(docs: DataFrame, field: LineField) -> DataFrame:
 
 def keep_good(docs: DataFrame, field: LineField) -> DataFrame:
     """The rows of ``docs``, all columns, whose text passes."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = textops.shared(docs.sparkSession, field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in textops.chunks(batches):

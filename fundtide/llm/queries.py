@@ -21,6 +21,7 @@ from fundtide.llm import (
     revisits,
     sql,
     suffix_dedup,
+    textops,
     token_files,
     toxicity,
     variants,
@@ -44,6 +45,13 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
 
 
+#: How Python workers give memory back: large arrays to the system as soon as they are free,
+#: so that what one stage needed is not held through the next ones.
+ALLOCATION = {
+    "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
 #: Rows that a Python worker is sent at a time.  Texts are long, and the executor's JVM and
 #: the worker each hold such a batch.
 ARROW_ROWS = 2000
@@ -52,6 +60,9 @@ ARROW_ROWS = 2000
 def prepare(spark: SparkSession) -> None:
     """What the operators expect of a session."""
     workers_find_package(spark)
+    for name, value in ALLOCATION.items():
+        spark.sparkContext.environment.setdefault(name, value)
+    textops.take_back()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 

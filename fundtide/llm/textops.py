@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
@@ -34,6 +34,26 @@ def documents(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in columns])
 
 
+_handed_out: list = []
+
+
+def shared(spark: SparkSession, value):
+    """``value`` for all tasks, as a broadcast.  Callers state what bounds its size."""
+    handle = spark.sparkContext.broadcast(value)
+    _handed_out.append(handle)
+    return handle
+
+
+def take_back() -> None:
+    """Free the executors of what earlier operators have shared.
+
+    A frame that still needs a value gets it sent again, so this is safe at any time; it pays
+    when the results of the earlier operators are written, as between the stages of a pipeline.
+    """
+    while _handed_out:
+        _handed_out.pop().unpersist()
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array and the n + 1 offsets of its texts; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):

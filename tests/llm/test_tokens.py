@@ -148,7 +148,7 @@ def test_token_files_know_their_file_system(llm_spark, tmp_path):
     assert token_files.located(llm_spark, str(tmp_path)) == f"file://{tmp_path}"
     assert token_files.located(llm_spark, f"file://{tmp_path}") == f"file://{tmp_path}"
     with pytest.raises(ValueError, match="cannot be written"):
-        token_files.located(llm_spark, "viewfs:///somewhere")
+        token_files.located(llm_spark, "http://127.0.0.1/somewhere")
 
 
 def check_packing(rows, capacity):
