@@ -36,20 +36,22 @@ def canonical_url(url: Column) -> Column:
 
 
 def latest_earlier(records: DataFrame, slices: int = SLICES) -> DataFrame:
-    """(record_id, refers_to) of every revisit; null without an earlier full response.
+    """Every revisit, all columns, with ``stored``: what its latest earlier full response has; null without one.
 
     Earlier means a smaller captured_at; of responses captured at once the largest
     record_id counts.  Each URL's time is cut into slices: the last response of every slice
     is aggregated, carried forward over the slices, and meets the revisits of later ones.
+    Digest and headers travel with the response, so nobody looks it up by its record_id: a
+    response that many revisits refer to would be a hot key.
     """
-    timed = records.select("record_id", "url_key", F.col("captured_at").cast("bigint").alias("at"),
-                           (F.col("record_type") == "response").alias("full"))
+    timed = records.withColumn("at", F.col("captured_at").cast("bigint")).withColumn("full", F.col("record_type") == "response")
     low, high = timed.agg(F.min("at"), F.max("at")).first()
     width = max(1, ((high or 0) - (low or 0)) // slices + 1)
     timed = timed.withColumn("slice", F.floor((F.col("at") - F.lit(low or 0)) / F.lit(width)))
-    own = F.when(F.col("full"), F.struct("at", "record_id"))
+    place = F.when(F.col("full"), F.struct("at", "record_id"))
+    own = F.when(F.col("full"), F.struct(F.col("record_id").alias("refers_to"), "payload_digest", "headers"))
 
-    last = timed.groupBy("url_key", "slice").agg(F.max(own).alias("last"))
+    last = timed.groupBy("url_key", "slice").agg(F.max_by(own, place).alias("last"))
     before = Window.partitionBy("url_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select("url_key", "slice", F.last("last", ignorenulls=True).over(before).alias("carried"))
 
@@ -57,7 +59,7 @@ def latest_earlier(records: DataFrame, slices: int = SLICES) -> DataFrame:
     order = Window.partitionBy("url_key", "slice").orderBy("at", "full", "record_id")
     inside = F.last(own, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
     met = timed.withColumn("met", inside).filter(~F.col("full")).join(carried, ["url_key", "slice"])
-    return met.select("record_id", F.coalesce("met", "carried")["record_id"].alias("refers_to"))
+    return met.withColumn("stored", F.coalesce("met", "carried")).drop("met", "carried", "at", "full", "slice")
 
 
 def _strong(etag: Column) -> Column:
@@ -73,15 +75,17 @@ def resolve(records: DataFrame, slices: int = SLICES) -> DataFrame:
     or time have no earlier response.  Repeated rows each give their result, and a response
     that is repeated counts once.
     """
-    keyed = records.withColumn("url_key", canonical_url(F.col("url")))
-    usable = keyed.filter(
-        F.col("url_key").isNotNull() & F.col("captured_at").isNotNull() & F.col("record_id").isNotNull()
-        & ((F.col("record_type") == "revisit") | ((F.col("record_type") == "response") & (F.col("status") == 200))))
-    asof = latest_earlier(usable, slices).distinct()
-    full = usable.filter("record_type = 'response'").select(
-        F.col("record_id").alias("refers_to"), F.col("headers").alias("_stored"), F.col("payload_digest").alias("_digest"),
-    ).dropDuplicates(["refers_to"])
-    joined = keyed.filter("record_type = 'revisit'").join(asof, "record_id", "left").join(full, "refers_to", "left")
+    keyed = records.select("record_id", "url", "captured_at", "record_type", "status", "headers", "payload_digest").withColumn(
+        "url_key", canonical_url(F.col("url")))
+    known = F.col("url_key").isNotNull() & F.col("captured_at").isNotNull() & F.col("record_id").isNotNull()
+    revisit = F.col("record_type") == "revisit"
+    full = (F.col("record_type") == "response") & (F.col("status") == 200)
+    found = latest_earlier(keyed.filter(known & (revisit | full)), slices)
+    # Revisits without URL or time need no join, in which they would all have one key.
+    alone = keyed.filter(revisit & ~known).withColumn("stored", F.lit(None).cast(found.schema["stored"].dataType))
+    joined = found.unionByName(alone).select(
+        "*", F.col("stored.refers_to").alias("refers_to"), F.col("stored.payload_digest").alias("_digest"),
+        F.col("stored.headers").alias("_stored"))
 
     def both(name: str) -> tuple[Column, Column]:
         return F.try_element_at("_stored", F.lit(name)), F.try_element_at("headers", F.lit(name))
