@@ -35,8 +35,9 @@ CHUNK_BYTES = 2 << 20
 ROUNDS, OPEN_PAIRS = 6, 200
 #: Texts in a block, and blocks that one task of a bucket compares with others.
 BLOCK, SHELF = 64, 8
-#: Texts whose shingles are asked for by broadcasting their doc_ids; more meet their documents by a shuffle.
-FEW_TEXTS = 20_000
+#: Texts whose shingles are asked for by broadcasting their doc_ids (32 bytes each, so at most 6.4 MB, less
+#: than Spark broadcasts by itself); more meet their documents by a shuffle.
+FEW_TEXTS = 200_000
 #: Pairs whose signatures agree in less than this share of the registers are not near: at a
 #: similarity of THRESHOLD that is more than seven standard deviations off.
 LEAST_AGREEING = -(-REGISTERS * 55 // 100)
@@ -251,7 +252,7 @@ class _Comparer:
             wanted = wanted.join(self._sets.select("id"), "id", "left_anti")
         listed = materialized(self._texts.join(wanted, "id").select("id", "h1", "h2", "first_doc"), "wanted")
         same = F.col("doc_id").eqNullSafe(F.col("first_doc"))
-        if listed.count() <= FEW_TEXTS:  # 32 bytes each
+        if listed.count() <= FEW_TEXTS:
             body = F.coalesce("text", F.lit("")).cast("binary").alias("body")
             found = self._docs.join(F.broadcast(listed), same).select("id", "h1", "h2", body, F.lit(False).alias("packed"))
         else:
