@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CA
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizing.encoder(tokenizer_path).encode
-        for batch in textops.chunks(batches, limit=tokenizing.CHUNK_BYTES):
+        for batch in textops.chunks(batches, limit=tokenizing.CHUNK_BYTES, kind=tokenizing.KIND):
             ids, at = encode(*textops.utf8(batch.column("text")))
             ids = np.insert(ids, at[1:], np.uint32(end_id)).astype("<u4")
             ends = at[1:] + np.arange(1, len(at))

@@ -52,9 +52,9 @@ ALLOCATION = {
     "ARROW_DEFAULT_MEMORY_POOL": "system",
 }
 
-#: Rows that a Python worker is sent at a time.  Texts are long, and the executor's JVM and
-#: the worker each hold such a batch.
-ARROW_ROWS = 2000
+#: Rows and bytes that a Python worker is sent at a time.  Texts are long, and the executor's
+#: JVM and the worker each hold such a batch.
+ARROW_ROWS, ARROW_BYTES = 2000, 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -64,6 +64,7 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.environment.setdefault(name, value)
     textops.take_back()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def _query(key: str, oracle: str | None = None):

@@ -7,7 +7,7 @@ bytes that are worked on at a time; one text is never cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +70,28 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[at[0]:at[-1]], at - at[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose texts have about ``limit`` bytes; at least one row each."""
+#: What tasks leave in their worker for the next task of their kind, and how to free it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep(kind: str, free: Callable[[], None]) -> None:
+    """Something of use to later tasks of this kind stays in the worker until a task of another kind begins."""
+    _kept[kind] = free
+
+
+def _free_others(kind: str) -> None:
+    for other in [k for k in _kept if k != kind]:
+        _kept.pop(other)()
+        _powers.update(base=np.ones(1, np.uint64), inverse=np.ones(1, np.uint64))
+
+
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES,
+           kind: str = "") -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose texts have about ``limit`` bytes; at least one row each.
+
+    A worker outlives its tasks: what tasks of another ``kind`` have left in it goes first.
+    """
+    _free_others(kind)
     for batch in batches:
         if batch.num_rows == 0:
             continue

@@ -183,7 +183,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
         encode = tokenizing.encoder(tokenizer_path).encode
         writer = None
-        for batch in textops.chunks(batches, limit=tokenizing.CHUNK_BYTES):
+        for batch in textops.chunks(batches, limit=tokenizing.CHUNK_BYTES, kind=tokenizing.KIND):
             if writer is None:
                 where, base = _open(folder)
                 where.create_dir(base, recursive=True)

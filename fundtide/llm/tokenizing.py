@@ -197,6 +197,15 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and file."""
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
+
+
+#: Tasks that may use what an earlier one has left.
+KIND = "tokenizer"
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder per worker and file, until tasks of other operators need the memory."""
+    textops.keep(KIND, _encoder.cache_clear)
+    return _encoder(path)
