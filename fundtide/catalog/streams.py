@@ -130,18 +130,28 @@ def _hour_columns(hours):
     )
 
 
-@query("hourly_tumbling_agg", _HOURLY)
-def hourly_tumbling_agg(spark, sf_dir):
+def _hourly_table(spark, sf_dir, batches: int, merge_every: int):
     topic, table, offsets = (new_folder(spark, n) for n in ("ticks", "hours", "offsets"))
-    # Four files, one per micro-batch; an hour may lie in two of them.
-    _timed_ticks(spark, sf_dir).repartitionByRange(4, "ts").write.parquet(topic)
+    # One file per micro-batch; an hour may lie in two of them.
+    _timed_ticks(spark, sf_dir).repartitionByRange(batches, "ts").write.parquet(topic)
     ticks = spark.readStream.schema(
         "ticker string, sector string, ts timestamp, price double, volume bigint"
     ).option("maxFilesPerTrigger", 1).parquet(topic)
-    ingest.hourly_to_table(ticks, table, offsets)
+    ingest.hourly_to_table(ticks, table, offsets, merge_every=merge_every)
     return _hour_columns(ingest.latest_hours(ingest.hour_slices(spark, table)))
 
 
+@query("hourly_tumbling_agg", _HOURLY)
+def hourly_tumbling_agg(spark, sf_dir):
+    return _hourly_table(spark, sf_dir, 4, ingest.MERGE_EVERY)
+
+
+@query("hourly_merged", _HOURLY)
+def hourly_merged(spark, sf_dir):
+    """As above, with the closed slices merged every second batch."""
+    return _hourly_table(spark, sf_dir, 7, 2)
+
+
 @query("hourly_batch", _HOURLY)
 def hourly_batch(spark, sf_dir):
     return _hour_columns(ingest.hourly(event_ticks(spark, sf_dir)))

@@ -58,7 +58,7 @@ class StoredBars:
         Files are sorted by day, so their row groups can be skipped within a month too.
         """
         rows = daily_change(bars.select(*self._given)).withColumn(MONTH, F.trunc("trade_date", "month"))
-        _put(rows.repartitionByRange("trade_date", "ticker").sortWithinPartitions(MONTH, "trade_date"), f"{self.path}/bars")
+        _put(rows, f"{self.path}/bars")
         _put(_edges(self.bars()), f"{self.path}/edges")
 
     def upsert(self, incoming: DataFrame, order: Sequence[Column] = ()) -> None:
@@ -121,7 +121,9 @@ class StoredBars:
 
 
 def _put(rows: DataFrame, path: str) -> None:
-    sinks.replace_slices(rows, path, [MONTH])
+    """Replace the months of ``rows``, a few files each: large months are split at run time, small ones share a task."""
+    rows = rows.hint("rebalance", MONTH)
+    sinks.replace_slices(rows.sortWithinPartitions(MONTH, *[c for c in ("trade_date",) if c in rows.columns]), path, [MONTH])
 
 
 def _months(rows: DataFrame) -> list[date]:
