@@ -7,6 +7,7 @@ bytes that are worked on at a time; one text is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -83,13 +84,17 @@ def _free_others(kind: str) -> None:
     for other in [k for k in _kept if k != kind]:
         _kept.pop(other)()
         _powers.update(base=np.ones(1, np.uint64), inverse=np.ones(1, np.uint64))
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES,
            kind: str = "") -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts have about ``limit`` bytes; at least one row each.
 
-    A worker outlives its tasks: what tasks of another ``kind`` have left in it goes first.
+    A worker outlives its tasks: what tasks of another ``kind`` have left in it goes first, and
+    what it holds free goes back to the system.
     """
     _free_others(kind)
     for batch in batches:
