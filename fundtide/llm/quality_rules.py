@@ -1,7 +1,7 @@
 """Line sequence labelling: a linear-chain conditional random field marks content lines.
 
-The base rules count words, symbols and repetition.  The field is fitted on lines of a
-bounded sample of labelled documents, each line taking its document's label; Viterbi
+The base rules count words, symbols and repetition.  The field is fitted on the lines of
+all labelled documents, each line taking its document's label, one Spark job per step; Viterbi
 decoding then marks every line of a document as content or boilerplate, and the share of
 words in content lines decides whether the document stays.
 """
@@ -17,9 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundtide.llm import labelled, textops
+from fundtide.sources.workspace import materialized
 
-#: Labelled documents per class that the field is fitted on, with all their lines.
-SAMPLE = 1500
 #: Weight of all boilerplate lines against all content lines in the fit: losing a good
 #: document counts more than keeping a poor one.
 BOILERPLATE_WEIGHT = 0.2
@@ -151,43 +150,16 @@ class LineField:
     def fit(cls, x: np.ndarray, lengths: np.ndarray, y: np.ndarray, weight: np.ndarray,
             steps: int = 250, rate: float = 0.2, ridge: float = 1e-4) -> LineField:
         """Maximum likelihood by Adam on exact forward-backward gradients; ``weight`` per sequence."""
-        first, active = cls._layout(lengths)
-        order = np.argsort(-lengths, kind="stable")
-        w = weight[order]
-        line_weight = np.repeat(weight, lengths)
-        gold = np.zeros((len(x), 2))
-        gold[np.arange(len(x)), y] = 1.0
-        pair_gold = np.zeros((2, 2))
-        for t in range(1, len(active)):
-            at = first[:active[t]] + t
-            np.add.at(pair_gold, (y[at - 1], y[at]), w[:active[t]])
-        total = line_weight.sum()
-        theta = [np.zeros((x.shape[1], 2)), np.zeros((2, 2))]
+        total = np.repeat(weight, lengths).sum()
+        return cls.adam(lambda theta: _differences(x, lengths, y, weight, theta), total, steps, rate, ridge)
+
+    @classmethod
+    def adam(cls, differences, total: float, steps: int = 250, rate: float = 0.2, ridge: float = 1e-4) -> LineField:
+        """Adam from zero; ``differences(theta)`` gives the weighted gold minus expected sums of all sequences."""
+        theta = [np.zeros((len(FEATURES), 2)), np.zeros((2, 2))]
         mean, var = [np.zeros_like(p) for p in theta], [np.zeros_like(p) for p in theta]
         for step in range(1, steps + 1):
-            score = x @ theta[0]
-            alpha, beta = np.zeros_like(score), np.zeros_like(score)
-            for t in range(len(active)):
-                at = first[:active[t]] + t
-                alpha[at] = score[at]
-                if t:
-                    joint = alpha[at - 1][:, :, None] + theta[1]
-                    alpha[at] += np.logaddexp(joint[:, 0], joint[:, 1])
-            pair = np.zeros((2, 2))
-            for t in range(len(active) - 1, 0, -1):
-                at = first[:active[t]] + t
-                onward = score[at] + beta[at]
-                joint = theta[1] + onward[:, None, :]
-                beta[at - 1] = np.logaddexp(joint[:, :, 0], joint[:, :, 1])
-                both = alpha[at - 1][:, :, None] + joint
-                both -= both.max(axis=(1, 2), keepdims=True)
-                share = np.exp(both)
-                share /= share.sum(axis=(1, 2), keepdims=True)
-                pair += np.einsum("nij,n->ij", share, w[:active[t]])
-            post = alpha + beta
-            post = np.exp(post - np.logaddexp(post[:, 0], post[:, 1])[:, None])
-            grads = [x.T @ ((gold - post) * line_weight[:, None]) / total - ridge * theta[0],
-                     (pair_gold - pair) / total - ridge * theta[1]]
+            grads = [d / total - ridge * p for d, p in zip(differences(theta), theta, strict=True)]
             for p, g, m, v in zip(theta, grads, mean, var, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
@@ -217,6 +189,43 @@ class LineField:
         return state
 
 
+def _differences(x: np.ndarray, lengths: np.ndarray, y: np.ndarray, weight: np.ndarray,
+                 theta: list[np.ndarray]) -> list[np.ndarray]:
+    """Gold minus expected feature and transition sums of sequences in a row, ``weight`` per sequence."""
+    first, active = LineField._layout(lengths)
+    order = np.argsort(-lengths, kind="stable")
+    w = weight[order]
+    line_weight = np.repeat(weight, lengths)
+    gold = np.zeros((len(x), 2))
+    gold[np.arange(len(x)), y] = 1.0
+    pair_gold = np.zeros((2, 2))
+    for t in range(1, len(active)):
+        at = first[:active[t]] + t
+        np.add.at(pair_gold, (y[at - 1], y[at]), w[:active[t]])
+    score = x @ theta[0]
+    alpha, beta = np.zeros_like(score), np.zeros_like(score)
+    for t in range(len(active)):
+        at = first[:active[t]] + t
+        alpha[at] = score[at]
+        if t:
+            joint = alpha[at - 1][:, :, None] + theta[1]
+            alpha[at] += np.logaddexp(joint[:, 0], joint[:, 1])
+    pair = np.zeros((2, 2))
+    for t in range(len(active) - 1, 0, -1):
+        at = first[:active[t]] + t
+        onward = score[at] + beta[at]
+        joint = theta[1] + onward[:, None, :]
+        beta[at - 1] = np.logaddexp(joint[:, :, 0], joint[:, :, 1])
+        both = alpha[at - 1][:, :, None] + joint
+        both -= both.max(axis=(1, 2), keepdims=True)
+        share = np.exp(both)
+        share /= share.sum(axis=(1, 2), keepdims=True)
+        pair += np.einsum("nij,n->ij", share, w[:active[t]])
+    post = alpha + beta
+    post = np.exp(post - np.logaddexp(post[:, 0], post[:, 1])[:, None])
+    return [x.T @ ((gold - post) * line_weight[:, None]), pair_gold - pair]
+
+
 def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in textops.chunks(batches):
         found = measure(*textops.utf8(batch.column("text")))
@@ -227,24 +236,49 @@ def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             [batch.column("label").cast(pa.int64()), pa.array(rows, pa.binary())], ["label", "lines"])
 
 
-def fit_field(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> LineField:
-    """Fit on at most ``per_class`` documents of each quality label.
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Features, line counts and labels of the documents of some batches that have lines."""
+    for batch in batches:
+        found = [(y, np.frombuffer(x, "<f8").reshape(-1, len(FEATURES)))
+                 for y, x in zip(batch.column("label").to_pylist(), batch.column("lines").to_pylist())]
+        found = [(y, x) for y, x in found if len(x)]
+        if found:
+            yield (np.concatenate([x for _, x in found]), np.array([len(x) for _, x in found]),
+                   np.array([y for y, _ in found], np.int64))
+
+
+def fit_field(docs: DataFrame, labels: DataFrame) -> LineField:
+    """Fit on every document with a quality label of 0 or 1, each Adam step one Spark job over all of them.
 
     Without documents of both labels there is nothing to tell apart, and every line is content.
     """
-    chosen = labelled.sample(docs, labels, "quality", per_class)
-    rows = chosen.mapInArrow(_training_lines, "label bigint, lines binary").collect()
-    parts = [(r["label"], np.frombuffer(r["lines"], "<f8").reshape(-1, len(FEATURES))) for r in rows]
-    parts = sorted(((int(y), x) for y, x in parts if len(x) and y in (0, 1)), key=lambda p: (p[0], p[1].tobytes()))
-    counts = np.bincount([y for y, _ in parts], minlength=2)
-    if not counts.all():
+    chosen = labelled.every(docs, labels, "quality").filter(F.col("label").isin(0, 1))
+    lines = materialized(chosen.mapInArrow(_training_lines, "label bigint, lines binary"), "field_lines")
+
+    def count_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs_lines = np.zeros((2, 2), np.int64)
+        for x, lengths, y in _read_lines(batches):
+            docs_lines += np.stack([np.bincount(y, minlength=2), np.bincount(y, lengths, 2).astype(np.int64)])
+        yield pa.RecordBatch.from_arrays([pa.array(docs_lines.ravel())], ["n"])
+
+    counted = np.array([r["n"] for r in lines.mapInArrow(count_lines, "n bigint").collect()]).reshape(-1, 2, 2).sum(0)
+    if not counted[0].all():
         return LineField.untrained()
-    x = np.concatenate([x for _, x in parts])
-    lengths = np.array([len(x) for _, x in parts])
-    y = np.array([y for y, _ in parts])
-    lines = np.array([lengths[y == k].sum() for k in (0, 1)])
-    weights = lines.sum() / lines * np.array([BOILERPLATE_WEIGHT, 1.0])
-    return LineField.fit(x, lengths, np.repeat(y, lengths), weights[y])
+    weights = counted[1].sum() / counted[1] * np.array([BOILERPLATE_WEIGHT, 1.0])
+
+    def differences(theta: list[np.ndarray]) -> list[np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = [np.zeros_like(p) for p in theta]
+            for x, lengths, y in _read_lines(batches):
+                for s, d in zip(sums, _differences(x, lengths, np.repeat(y, lengths), weights[y], theta), strict=True):
+                    s += d
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([s.ravel() for s in sums]).tobytes()])], ["sums"])
+
+        total = sum(np.frombuffer(r["sums"], "<f8") for r in lines.mapInArrow(run, "sums binary").collect())
+        size = theta[0].size
+        return [total[:size].reshape(theta[0].shape), total[size:].reshape(theta[1].shape)]
+
+    return LineField.adam(differences, float(counted[1] @ weights))
 
 
 RESULT = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
