@@ -82,7 +82,9 @@ class Model:
 
     def sums(self, doc: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
         """The linear part, from pairs of a text and a feature that it has."""
-        length = np.sqrt(np.bincount(doc, self.ratio[feature]**2, n))
+        square = self.ratio[feature]
+        length = np.sqrt(np.bincount(doc, np.square(square, out=square), n))
+        del square
         return self.bias + np.bincount(doc, self.weight[feature], n) / np.maximum(length, 1e-9)
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -153,10 +155,13 @@ def _fit_logistic(rows: np.ndarray, features: np.ndarray, value: np.ndarray, y:
     theta, bias = np.zeros(size), 0.0
     mean, var = np.zeros(size + 1), np.zeros(size + 1)
     weight = weight / weight.sum()
+    # One buffer of the matrix's size serves every step, instead of new ones for each product.
+    entries = np.empty(len(value))
     for step in range(1, steps + 1):
-        z = np.bincount(rows, theta[features] * value, len(y)) + bias
+        z = np.bincount(rows, np.multiply(np.take(theta, features, out=entries), value, out=entries), len(y)) + bias
         error = weight * (_sigmoid(z) - y)
-        gradient = np.append(np.bincount(features, error[rows] * value, size) + RIDGE * theta, error.sum())
+        product = np.multiply(np.take(error, rows, out=entries), value, out=entries)
+        gradient = np.append(np.bincount(features, product, size) + RIDGE * theta, error.sum())
         mean += 0.1 * (gradient - mean)
         var += 0.01 * (gradient**2 - var)
         move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(var / (1 - 0.99**step)) + 1e-8)
@@ -225,34 +230,42 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, kept: int =
                 [batch.column("doc_id"), batch.column("label"), batch.column("half"), pa.array(own, pa.binary())],
                 ["doc_id", "label", "half", "features"])
 
-    rows = chosen.mapInArrow(seen, "doc_id bigint, label int, half int, features binary").orderBy("doc_id").collect()
-    own = [np.frombuffer(r["features"], "<i4") for r in rows]
-    doc, feature = np.repeat(np.arange(len(own), dtype=np.int32), list(map(len, own))), np.concatenate(own)
-    y, half = np.array([r["label"] for r in rows]), np.array([r["half"] for r in rows])
+    # The features reach the driver as one Arrow buffer, read in place: no row object or copy per text.
+    table = chosen.mapInArrow(seen, "doc_id bigint, label int, half int, features binary").orderBy("doc_id").toArrow()
+    y, half = (table.column(name).to_numpy().astype(np.int64) for name in ("label", "half"))
+    features = table.column("features").combine_chunks()
+    del table
+    n = len(features)
+    ends = np.frombuffer(features.buffers()[1], np.int32)[features.offset:features.offset + n + 1]
+    doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(ends) // 4)
+    feature = (np.frombuffer(features.buffers()[2], "<i4", count=int(ends[-1] - ends[0]) // 4, offset=int(ends[0]))
+               if ends[-1] > ends[0] else np.zeros(0, np.int32))
     weight = np.where(y == 1, totals[1] / sizes[:, 1].sum(), totals[0] / sizes[:, 0].sum())
 
-    def learn(part: int, texts: np.ndarray) -> tuple[Model, np.ndarray]:
-        """A model with the features of ``part``, fitted on ``texts``, and what it says about all."""
+    def learn(part: int, texts: np.ndarray, tell: bool = True) -> tuple[Model, np.ndarray | None]:
+        """A model with the features of ``part``, fitted on ``texts``, and (if ``tell``) what it says about all."""
         mine = choice[choice["part"] == part].sort_values("feature")
         ratio = mine["ratio"].to_numpy()
         place = np.full(len(every), -1, np.int32)
         place[np.searchsorted(every, mine["feature"].to_numpy())] = np.arange(len(mine))
         has = place[feature] >= 0
         d, f = doc[has], place[feature[has]]
-        length = np.maximum(np.sqrt(np.bincount(d, ratio[f]**2, len(own))), 1e-9)
+        length = np.maximum(np.sqrt(np.bincount(d, ratio[f]**2, n)), 1e-9)
         train = texts[d]
-        number = np.cumsum(texts) - 1
-        d_train, f_train = number[d[train]], f[train]
-        value = ratio[f_train] / length[d[train]]
+        d_train, f_train = (d, f) if train.all() else (d[train], f[train])
+        value = ratio[f_train] / length[d_train]
+        d_train = (np.cumsum(texts, dtype=np.int32) - 1)[d_train]
+        del train, has, length
         theta, bias = _fit_logistic(d_train, f_train, value, y[texts], weight[texts], len(mine))
+        del d_train, f_train, value
         hashes = np.full(1 << HASH_BITS, -1, np.int32)
         hashes[mine["feature"].to_numpy()] = np.arange(len(mine))
         model = Model(hashes, theta * ratio, ratio, bias)
-        return model, model.sums(d, f, len(own))
+        return model, model.sums(d, f, n) if tell else None
 
-    model, _ = learn(2, np.ones(len(own), bool))
+    model, _ = learn(2, np.ones(n, bool), tell=False)
     if sizes.all():
-        said = np.zeros(len(own))
+        said = np.zeros(n)
         for part in (0, 1):
             _, z = learn(part, half == part)
             said[half != part] = z[half != part]
